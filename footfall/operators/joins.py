@@ -12,7 +12,7 @@ DEFAULT_SALTS = 16
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Catalyst's size estimate is within the session's broadcast threshold."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     return size <= threshold
 

@@ -1,0 +1,120 @@
+"""Writers, and upserts by key.
+
+A micro-batch writes its rows to its own ``batch_id=N`` folder and overwrites
+it when it is replayed, so totals never count a batch twice. A keyed table is
+the latest row of each key over its batches; :func:`compact` folds old batches
+into one.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from footfall.operators.metrics import METRICS
+
+SNAPSHOT_KEYS = ("date", "ws", "minute")
+ACTIVITY_KEYS = ("date", "code")
+
+
+# -- batch folders ----------------------------------------------------------
+
+
+def write_batch(rows: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
+    """Write a micro-batch; a replay of the same ``batch_id`` replaces it."""
+    writer = rows.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(f"{path}/batch_id={batch_id}")
+
+
+def read_batches(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """Rows of all batches, or of those before ``before``; only their folders are read."""
+    rows = spark.read.option("basePath", path).parquet(f"{path}/batch_id=*")
+    rows = rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    if "date" in rows.columns:
+        rows = rows.withColumn("date", F.col("date").cast("string"))
+    return rows if before is None else rows.filter(F.col("batch_id") < before)
+
+
+# -- upserts ----------------------------------------------------------------
+
+
+def latest_by_key(rows: DataFrame, keys: Sequence[str], version: Column | str) -> DataFrame:
+    """The row with the highest version of each key; keys may be NULL."""
+    values = [c for c in rows.columns if c not in keys and c != version]
+    packed = F.max_by(F.struct(*values), version).alias("_row")
+    return rows.groupBy(*keys).agg(packed).select(*keys, "_row.*")
+
+
+def upsert(current: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``current`` with the rows of ``changes`` updated, or inserted where the key is new."""
+    versioned = current.withColumn("_version", F.lit(0)).unionByName(
+        changes.withColumn("_version", F.lit(1))
+    )
+    return latest_by_key(versioned, keys, "_version")
+
+
+def read_keyed(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Current state of a table whose changes were written batch by batch."""
+    return latest_by_key(read_batches(spark, path), keys, "batch_id")
+
+
+def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], upto: int) -> None:
+    """Write the state after batch ``upto`` as one batch of a new table at ``target``.
+
+    Later batches are then written to ``target``; the old folders stay valid
+    until the switch, so a failure at any point loses nothing.
+    """
+    state = latest_by_key(read_batches(spark, path, before=upto + 1), keys, "batch_id")
+    write_batch(state, target, upto)
+
+
+# -- output forms -----------------------------------------------------------
+
+
+def metrics_to_long(metrics: DataFrame) -> DataFrame:
+    """``kind, date, site, value`` rows of the four metrics."""
+    kinds = F.array(
+        *[F.struct(F.lit(m.upper()).alias("kind"), F.col(m).alias("value")) for m in METRICS]
+    )
+    rows = metrics.select("date", F.col("ws").alias("site"), F.inline(kinds))
+    return rows.select("kind", "date", "site", "value")
+
+
+def metric_key_parts(rows: DataFrame) -> DataFrame:
+    """``KIND:date:site`` keys as three columns."""
+    part = [F.split_part("key", F.lit(":"), F.lit(i)) for i in (1, 2, 3)]
+    names = ("kind", "date", "site")
+    return rows.select("*", *[p.alias(name) for p, name in zip(part, names)])
+
+
+def daily_export(long_rows: DataFrame) -> DataFrame:
+    """One ``(date, ws, uv, pv)`` row for each day and site."""
+    wide = long_rows.groupBy("date", F.col("site").alias("ws"))
+    wide = wide.pivot("kind", ["PV", "UV"]).agg(F.first("value"))
+    return wide.select("date", "ws", F.col("UV").alias("uv"), F.col("PV").alias("pv"))
+
+
+def running_list(running: DataFrame) -> DataFrame:
+    """``HH:mm:00--total`` texts, newest first within each date."""
+    entry = F.concat_ws("--", "minute", F.col("pv").cast("string"))
+    return running.select("date", "minute", entry.alias("entry")).orderBy("date", F.desc("minute"))
+
+
+def write_by_date(rows: DataFrame, path: str) -> None:
+    """Replace only the dates that ``rows`` holds."""
+    by_date = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    by_date.partitionBy("date").parquet(path)
+
+
+def register_view(rows: DataFrame, name: str) -> DataFrame:
+    """Expose rows to SQL and return them as read from the view."""
+    rows.createOrReplaceTempView(name)
+    return rows.sparkSession.table(name)
+
+
+def write_jdbc(rows: DataFrame, url: str, table: str, mode: str = "append", **options: str) -> None:
+    rows.write.format("jdbc").options(url=url, dbtable=table, **options).mode(mode).save()

@@ -1,0 +1,306 @@
+"""Streaming jobs. All read ``line`` columns and share the batch operators.
+
+Exactly-once totals: the checkpoint fixes the content of each micro-batch, and
+its output goes to a folder named after the batch, replaced on replay.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from footfall.config import TrafficConfig
+from footfall.operators import campaigns as campaign_ops
+from footfall.operators import goods as goods_ops
+from footfall.operators.filters import goods_hits, main_site_hits
+from footfall.operators.metrics import (
+    METRICS,
+    NAME,
+    VISITOR,
+    contributions,
+    merge_partials,
+    partials,
+    totals,
+    visitor,
+)
+from footfall.operators.running import running_from_partials
+from footfall.operators.topn import click_keys, sliding_click_counts, top_items
+from footfall.sinks import (
+    ACTIVITY_KEYS,
+    SNAPSHOT_KEYS,
+    latest_by_key,
+    read_batches,
+    read_keyed,
+    write_batch,
+)
+
+SITE_DIMS = ("date", "ws")
+
+
+def start(
+    rows: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    mode: str = "append",
+    every: str | None = None,
+) -> StreamingQuery:
+    """Run ``write`` on each micro-batch; ``every`` is a trigger interval such as ``10 seconds``.
+
+    Without an interval the query takes what is available and ends.
+    """
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        rows.writeStream.outputMode(mode)
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def _with_day(rows: DataFrame, late_by: str) -> DataFrame:
+    """Add the hit's date as ``day``, the event time that bounds the state.
+
+    State of a day is dropped once a hit is seen that is ``late_by`` and more
+    after it; within that, late hits always count.
+    """
+    day = F.try_to_timestamp(F.col("date"), F.lit("yyyy-MM-dd"))
+    return rows.withColumn("day", day).withWatermark("day", late_by)
+
+
+# -- metrics by day, incremental --------------------------------------------
+
+
+def stream_pvuv_by_day(
+    lines: DataFrame,
+    config: TrafficConfig,
+    path: str,
+    checkpoint: str,
+    un_policy: str = "named",
+    late_by: str = "1 day",
+    every: str | None = None,
+) -> StreamingQuery:
+    """The four metrics by day and site, at a cost that grows with the batch only.
+
+    The state has one row for each member of the last days. A member is new
+    when its first batch is this one, so a batch writes increments of a few
+    rows. Hits count under the batch's own time as their member.
+    """
+    hits = main_site_hits(lines, config, "cuc", "rc", "un")
+    members = contributions(hits, SITE_DIMS, un_policy, minutes=True)
+    members = members.withColumn("stamp", F.current_timestamp())
+    stamp = F.col("stamp")
+    is_member = F.col("kind").isin(VISITOR, NAME)
+    members = members.withColumn(
+        "member", F.when(is_member, F.col("member")).otherwise(stamp.cast("string"))
+    )
+    state = (
+        _with_day(members, late_by)
+        .groupBy("day", "date", "ws", "kind", "member")
+        .agg(
+            F.count("*").alias("n"),
+            F.min(stamp).alias("first"),
+            F.max(stamp).alias("last"),
+            F.min(F.when(F.col("is_rc"), stamp)).alias("first_rc"),
+        )
+    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        new = F.col("first") == F.col("last")
+        is_visitor = F.col("kind") == VISITOR
+        increments = batch.groupBy(*SITE_DIMS).agg(
+            F.coalesce(F.sum(F.when(~is_member, F.col("n"))), F.lit(0)).alias("pv"),
+            F.count_if(is_visitor & new).alias("uv"),
+            F.count_if(is_visitor & (F.col("first_rc") == F.col("last"))).alias("rc"),
+            F.count_if((F.col("kind") == NAME) & new).alias("un"),
+        )
+        write_batch(increments, path, batch_id)
+
+    return start(state, write, checkpoint, "update", every)
+
+
+def read_pvuv_by_day(spark: SparkSession, path: str) -> DataFrame:
+    rows = read_batches(spark, path)
+    return rows.groupBy(*SITE_DIMS).agg(*[F.sum(m).alias(m) for m in METRICS])
+
+
+def stream_uv(
+    lines: DataFrame,
+    config: TrafficConfig,
+    path: str,
+    checkpoint: str,
+    late_by: str = "1 day",
+    every: str | None = None,
+) -> StreamingQuery:
+    """Exact distinct visitors across batches, as a keyed table of counts."""
+    hits = main_site_hits(lines, config, "cuc").select(*SITE_DIMS, visitor().alias("cuc"))
+    first = _with_day(hits, late_by).dropDuplicates(["day", "date", "ws", "cuc"])
+    counts = first.groupBy("day", *SITE_DIMS).agg(F.count("*").alias("uv"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch.drop("day"), path, batch_id)
+
+    return start(counts, write, checkpoint, "update", every)
+
+
+def read_uv(spark: SparkSession, path: str) -> DataFrame:
+    return read_keyed(spark, path, SITE_DIMS)
+
+
+# -- snapshots and campaigns, from partials ---------------------------------
+
+
+def _of_dates(rows: DataFrame, dates: DataFrame) -> DataFrame:
+    """Only the dates of this batch; other date folders are not read."""
+    return rows.join(dates, "date", "left_semi")
+
+
+def stream_snapshot(
+    lines: DataFrame,
+    config: TrafficConfig,
+    path: str,
+    checkpoint: str,
+    un_policy: str = "named",
+    every: str | None = None,
+) -> StreamingQuery:
+    """Cumulative metrics by minute, upserted for the dates that a batch touches.
+
+    Late hits correct the later minutes of their day, so the table always
+    equals the batch result over all hits so far.
+    """
+    hits = main_site_hits(lines, config, "cuc", "rc", "un")
+    parts, table = f"{path}/partials", f"{path}/table"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        write_batch(partials(batch, SITE_DIMS, un_policy, True), parts, batch_id, ["date"])
+        so_far = read_batches(spark, parts, before=batch_id + 1)
+        dates = so_far.filter(F.col("batch_id") == batch_id).select("date").distinct()
+        members = merge_partials(_of_dates(so_far, dates), SITE_DIMS)
+        write_batch(running_from_partials(members, SITE_DIMS), table, batch_id)
+
+    return start(hits, write, checkpoint, every=every)
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    return read_keyed(spark, f"{path}/table", SNAPSHOT_KEYS)
+
+
+def stream_activity(
+    lines: DataFrame,
+    config: TrafficConfig,
+    campaigns: DataFrame,
+    path: str,
+    checkpoint: str,
+    test: str = "word",
+    un_policy: str = "named",
+    every: str | None = None,
+) -> StreamingQuery:
+    """Campaign metrics; new titles get the next codes and are counted from their first hit."""
+    hits = campaign_ops.activity_hits(lines, config, test)
+    parts, table, dims = f"{path}/partials", f"{path}/table", ["date", "title"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        write_batch(partials(batch, dims, un_policy), parts, batch_id, ["date"])
+        so_far = read_batches(spark, parts, before=batch_id + 1)
+        current = so_far.filter(F.col("batch_id") == batch_id)
+
+        known = campaigns.select("title", "code")
+        if batch_id > 0:
+            known = read_codes(spark, campaigns, path, batch_id - 1)
+        seen = current.select("title", "date", F.col("first_minute").alias("minute"))
+        write_batch(campaign_ops.new_campaign_codes(seen, known), f"{path}/codes", batch_id)
+        codes = read_codes(spark, campaigns, path, batch_id)
+
+        dates = current.select("date").distinct()
+        metrics = totals(merge_partials(_of_dates(so_far, dates), dims), dims)
+        write_batch(metrics.join(codes, "title"), table, batch_id)
+
+    return start(hits, write, checkpoint, every=every)
+
+
+def read_codes(
+    spark: SparkSession, campaigns: DataFrame, path: str, upto: int | None = None
+) -> DataFrame:
+    """The campaign dimension, with the codes that the stream has given."""
+    before = None if upto is None else upto + 1
+    given = read_batches(spark, f"{path}/codes", before).select("title", "code")
+    return campaigns.select("title", "code").unionByName(given)
+
+
+def read_activity(spark: SparkSession, path: str) -> DataFrame:
+    return read_keyed(spark, f"{path}/table", ACTIVITY_KEYS)
+
+
+# -- goods ------------------------------------------------------------------
+
+
+def stream_goods_state(
+    lines: DataFrame,
+    config: TrafficConfig,
+    dimension: DataFrame,
+    path: str,
+    checkpoint: str,
+    version: tuple[str, ...] = ("time", "event_id", "pos"),
+    every: str | None = None,
+) -> StreamingQuery:
+    """Goods states with their names, one row for each key and batch."""
+    events = goods_ops.goods_events(goods_hits(lines, config))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        versioned = batch.withColumn("version", F.struct(*version))
+        latest = versioned.groupBy("port", "pcode").agg(
+            F.max_by("state", "version").alias("state"), F.max("version").alias("version")
+        )
+        write_batch(goods_ops.enrich_goods_state(latest, dimension), path, batch_id)
+
+    return start(events, write, checkpoint, every=every)
+
+
+def read_goods_state(spark: SparkSession, path: str) -> DataFrame:
+    rows = read_batches(spark, path).drop("batch_id")
+    return latest_by_key(rows, goods_ops.STATE_KEYS, "version")
+
+
+# -- clicks -----------------------------------------------------------------
+
+
+def stream_topn_sliding(
+    lines: DataFrame,
+    path: str,
+    checkpoint: str,
+    length: str = "60 seconds",
+    slide: str = "20 seconds",
+    n: int = 3,
+    late_by: str = "1 day",
+    every: str | None = None,
+) -> StreamingQuery:
+    """Item counts in sliding windows, and the top items of each window.
+
+    A batch upserts the counts it changed; the rank is taken over the full
+    windows of those rows.
+    """
+    clicks = click_keys(lines.withWatermark("ts", late_by))
+    counts = sliding_click_counts(clicks, length, slide)
+    window = ("window_start", "window_end")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        write_batch(batch, f"{path}/counts", batch_id)
+        so_far = read_batches(spark, f"{path}/counts", before=batch_id + 1)
+        touched = so_far.filter(F.col("batch_id") == batch_id).select(*window).distinct()
+        current = latest_by_key(
+            so_far.join(touched, list(window), "left_semi"), [*window, "category", "item"], "batch_id"
+        )
+        write_batch(top_items(current, n, window), f"{path}/top", batch_id)
+
+    return start(counts, write, checkpoint, "update", every)
+
+
+def read_topn_sliding(spark: SparkSession, path: str) -> DataFrame:
+    """The last ranking written for each window."""
+    return read_keyed(spark, f"{path}/top", ("window_start", "window_end", "category", "rank"))
