@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.config import MallBranch, MallRules, TrafficConfig
+from footfall.operators.records import evaluate_once
 
 HITS_SQL = """
 select event_id, arrival,
@@ -128,14 +129,29 @@ FIXTURE_CONFIG = TrafficConfig(
 )
 
 
-def _from_table(spark: SparkSession, sf_dir: str, table: str, sql: str) -> DataFrame:
+def _table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A given table; one that comes in fewer splits than there are cores is spread out.
+
+    Reading lines is bound by CPU, so a single small file would leave all
+    cores but one idle. Tables of many splits are never shuffled here.
+    """
     source = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if table == "events" and source.rdd.getNumPartitions() < cores:
+        return source.repartition(cores)
+    return source
+
+
+def _from_table(spark: SparkSession, sf_dir: str, table: str, sql: str) -> DataFrame:
+    source = _table(spark, sf_dir, table)
     return spark.sql(sql.replace(f"from {table}", "from {src}"), src=source)
 
 
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(event_id, arrival, line)`` hit lines, one per event."""
-    return _from_table(spark, sf_dir, "events", HITS_SQL)
+    rows = _from_table(spark, sf_dir, "events", HITS_SQL)
+    line = rows.select("event_id", "arrival", F.col("line").alias("text"))
+    return evaluate_once(line, F.col("text").alias("line")).drop("text")
 
 
 def goods(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,7 +59,7 @@ def query_text(parts: Column) -> Column:
 
 def has_time(time: Column) -> Column:
     """``T`` followed by at least ``HH:mm``."""
-    return F.contains(time, F.lit("T")) & (F.length(_clock(time)) >= 5)
+    return F.contains(time, F.lit("T")) & F.rlike(_clock(time), F.lit(r"^\d\d:\d\d"))
 
 
 def has_query(parts: Column) -> Column:
@@ -93,6 +93,17 @@ def event_minute(time: Column) -> Column:
     return F.concat(event_minute_short(time), F.lit(":00"))
 
 
+def minute_number(minute: Column) -> Column:
+    """``HH:mm`` as the integer ``HHmm``: same order, and a type that hash aggregation keeps."""
+    digits = F.concat(F.substring(minute, 1, 2), F.substring(minute, 4, 2))
+    return digits.cast("int")
+
+
+def minute_text(number: Column) -> Column:
+    digits = F.lpad(number.cast("string"), 4, "0")
+    return F.concat(F.substring(digits, 1, 2), F.lit(":"), F.substring(digits, 3, 2), F.lit(":00"))
+
+
 def minute_epoch_ms(date: Column, minute: Column) -> Column:
     """Epoch milliseconds as text, in the session time zone; NULL when malformed."""
     stamp = F.try_to_timestamp(F.concat_ws(" ", date, minute), F.lit("yyyy-MM-dd HH:mm:ss"))
@@ -122,7 +133,8 @@ def last_segment(segs: Column, key: str) -> Column:
         value = F.substr(_trimmed(s), F.lit(len(prefix) + 1))
         return (F.startswith(s, F.lit(prefix)) & ~F.contains(value, F.lit("="))) | (s == key)
 
-    return F.try_element_at(F.filter(segs, holds), F.lit(-1))
+    near = F.filter(segs, lambda s: F.startswith(s, F.lit(key)))
+    return F.try_element_at(F.filter(near, holds), F.lit(-1))
 
 
 def segment_value(segment: Column, key: str, empty: str = EMPTY_VALUE) -> Column:

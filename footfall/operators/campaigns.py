@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.config import TrafficConfig
+from footfall.functions.parse import minute_number
 from footfall.operators.filters import (
     activity_path,
     activity_word,
@@ -66,8 +67,11 @@ def new_campaign_codes(
     are ranked within their first minute; minute counts are summed up within
     the day and day counts over the days, so no task ranks all titles.
     """
+    by_date = hits.groupBy("title", "date").agg(
+        F.min(minute_number(F.col("minute"))).alias("minute")
+    )
     seen = F.min(F.struct("date", "minute")).alias("seen")
-    new = hits.groupBy("title").agg(seen).join(campaigns, "title", "left_anti")
+    new = by_date.groupBy("title").agg(seen).join(campaigns, "title", "left_anti")
     new = new.select("title", "seen.date", "seen.minute")
 
     def before(*by: str, order: str) -> Column:

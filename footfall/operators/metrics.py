@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.parse import EMPTY_VALUE
+from footfall.functions.parse import EMPTY_VALUE, minute_number
 from footfall.operators.records import FIELD_SENTINELS, with_default
 
 VISITOR, NAME, MINUTE = "visitor", "name", "minute"
@@ -57,12 +57,17 @@ def contributions(
 def partials(
     hits: DataFrame, dims: Sequence[str], un_policy: str = "named", minutes: bool = False
 ) -> DataFrame:
-    """One row for each member: hit count, first minute, first minute as a first visit."""
+    """One row for each member: hit count, first minute, first minute as a first visit.
+
+    Minutes are integers here: text in the aggregation state would turn the
+    hash aggregate into a sort of all hits.
+    """
     rows = contributions(hits, dims, un_policy, minutes)
+    number = minute_number(F.col("minute"))
     return rows.groupBy(*dims, "kind", "member").agg(
         F.count("*").alias("n"),
-        F.min("minute").alias("first_minute"),
-        F.min(F.when(F.col("is_rc"), F.col("minute"))).alias("first_rc_minute"),
+        F.min(number).alias("first_minute"),
+        F.min(F.when(F.col("is_rc"), number)).alias("first_rc_minute"),
     )
 
 

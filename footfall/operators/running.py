@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from footfall.functions.parse import minute_number, minute_text
 from footfall.operators.joins import lookup_join
 from footfall.operators.metrics import METRICS, MINUTE, NAME, VISITOR, page_views, partials
 
@@ -42,17 +43,18 @@ def _first_seen_by_minute(members: DataFrame, dims: Sequence[str]) -> DataFrame:
     first_rc = F.col("first_rc_minute")
     entries = F.array_compact(
         F.array(
-            entry(kind == MINUTE, F.col("member"), pv=F.col("n")),
+            entry(kind == MINUTE, F.col("first_minute"), pv=F.col("n")),
             entry(kind == VISITOR, F.col("first_minute"), uv=1),
             entry((kind == VISITOR) & first_rc.isNotNull(), first_rc, rc=1),
             entry(kind == NAME, F.col("first_minute"), un=1),
         )
     )
-    return (
+    by_number = (
         members.select(*dims, F.inline(entries))
         .groupBy(*dims, "minute")
         .agg(*[F.sum(m).alias(m) for m in METRICS])
     )
+    return by_number.withColumn("minute", minute_text(F.col("minute")))
 
 
 def running_from_partials(members: DataFrame, dims: Sequence[str]) -> DataFrame:
@@ -157,8 +159,9 @@ def emitted_minutes(snapshots: DataFrame) -> DataFrame:
 
 
 def _minute_number(minute: Column) -> Column:
-    hours = F.substring(minute, 1, 2).cast("int")
-    return hours * 60 + F.substring(minute, 4, 2).cast("int")
+    """Minutes since midnight."""
+    number = minute_number(minute)
+    return F.floor(number / 100) * 60 + number % 100
 
 
 def prev_minute(running: DataFrame, dims: Sequence[str]) -> DataFrame:

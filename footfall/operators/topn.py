@@ -59,7 +59,7 @@ def pair_counts(pairs: DataFrame) -> DataFrame:
 
 def pair_first(pairs: DataFrame) -> DataFrame:
     """One row for each key; the smallest, so the choice is the same every time."""
-    first = pair_keys(pairs).groupBy("pair").agg(
+    first = pair_keys(pairs.distinct()).groupBy("pair").agg(
         F.min(F.struct("name", "second_name")).alias("first")
     )
     return first.select("pair", "first.name", "first.second_name")

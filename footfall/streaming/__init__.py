@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from footfall.config import TrafficConfig
+from footfall.functions.parse import minute_text
 from footfall.operators import campaigns as campaign_ops
 from footfall.operators import goods as goods_ops
 from footfall.operators.filters import goods_hits, main_site_hits
@@ -61,14 +62,15 @@ def start(
     )
 
 
-def _with_day(rows: DataFrame, late_by: str) -> DataFrame:
+def _with_day(rows: DataFrame, late_by: str | None) -> DataFrame:
     """Add the hit's date as ``day``, the event time that bounds the state.
 
-    State of a day is dropped once a hit is seen that is ``late_by`` and more
-    after it; within that, late hits always count.
+    A day's state is dropped, and its later hits no longer count, once a hit
+    dated ``late_by`` or more after it has been seen in an earlier batch. Two
+    days keep yesterday open until tomorrow. ``None`` never drops a day.
     """
-    day = F.try_to_timestamp(F.col("date"), F.lit("yyyy-MM-dd"))
-    return rows.withColumn("day", day).withWatermark("day", late_by)
+    rows = rows.withColumn("day", F.try_to_timestamp(F.col("date"), F.lit("yyyy-MM-dd")))
+    return rows.withWatermark("day", late_by) if late_by else rows
 
 
 # -- metrics by day, incremental --------------------------------------------
@@ -80,7 +82,7 @@ def stream_pvuv_by_day(
     path: str,
     checkpoint: str,
     un_policy: str = "named",
-    late_by: str = "1 day",
+    late_by: str | None = "2 days",
     every: str | None = None,
 ) -> StreamingQuery:
     """The four metrics by day and site, at a cost that grows with the batch only.
@@ -132,7 +134,7 @@ def stream_uv(
     config: TrafficConfig,
     path: str,
     checkpoint: str,
-    late_by: str = "1 day",
+    late_by: str | None = "2 days",
     every: str | None = None,
 ) -> StreamingQuery:
     """Exact distinct visitors across batches, as a keyed table of counts."""
@@ -212,7 +214,8 @@ def stream_activity(
         known = campaigns.select("title", "code")
         if batch_id > 0:
             known = read_codes(spark, campaigns, path, batch_id - 1)
-        seen = current.select("title", "date", F.col("first_minute").alias("minute"))
+        minute = minute_text(F.col("first_minute")).alias("minute")
+        seen = current.select("title", "date", minute)
         write_batch(campaign_ops.new_campaign_codes(seen, known), f"{path}/codes", batch_id)
         codes = read_codes(spark, campaigns, path, batch_id)
 
