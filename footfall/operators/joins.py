@@ -28,7 +28,9 @@ def lookup_join(
 
     A lookup within the broadcast threshold is left to Catalyst, which then
     broadcasts it. A larger one is repeated once for each salt and the facts
-    are spread over the salts, so no key, however hot, ends in one task.
+    are spread over the salts, so no key, however hot, ends in one task. The
+    salted partitioning also keeps a later aggregation from reusing the join's
+    own, so adaptive execution is free to split what is still uneven.
     """
     if how not in ("inner", "left"):
         raise ValueError("facts are on the left of an inner or left join")

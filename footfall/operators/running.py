@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from footfall.functions.parse import minute_number, minute_text
 from footfall.operators.joins import lookup_join
 from footfall.operators.metrics import METRICS, MINUTE, NAME, VISITOR, page_views, partials
+from footfall.session import shared_folder
 
 
 def running_totals(
@@ -101,6 +102,18 @@ def _triggers(
     return found.select(*dims, "minute", "first")
 
 
+def _stored(rows: DataFrame) -> DataFrame:
+    """Rows by way of a table in the shared folder.
+
+    They must be complete before the hits can be assigned anyway, and a
+    stored table has a known size, so the join after it can be a broadcast
+    instead of a shuffle of all hits.
+    """
+    path = f"{shared_folder(rows.sparkSession, 'triggers')}/table"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _next_trigger(triggers: Column, order: Column) -> Column:
     """The first of the sorted triggers that is not before ``order``.
 
@@ -128,12 +141,15 @@ def hwm_snapshot(
     A hit that arrives late counts in the next snapshot of its day, and never
     emits one for its own old minute. The first trigger only sets the mark.
     With ``across_days`` one mark runs through all dates of a site; without,
-    each date starts its own.
+    each date starts its own. The hits are read twice: to find the triggers,
+    and to assign each hit to the next one.
     """
     arrival = F.struct(*order)
     triggers = _triggers(hits, dims, arrival, across_days)
-    arrays = triggers.groupBy(*dims).agg(
-        F.sort_array(F.collect_list(F.struct("first", "minute"))).alias("triggers")
+    arrays = _stored(
+        triggers.groupBy(*dims).agg(
+            F.sort_array(F.collect_list(F.struct("first", "minute"))).alias("triggers")
+        )
     )
     assigned = lookup_join(hits, arrays, dims, "inner").withColumn(
         "minute", _next_trigger(F.col("triggers"), arrival)["minute"]

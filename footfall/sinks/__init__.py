@@ -2,13 +2,13 @@
 
 A micro-batch writes its rows to its own ``batch_id=N`` folder and overwrites
 it when it is replayed, so totals never count a batch twice. A keyed table is
-the latest row of each key over its batches; :func:`compact` folds old batches
-into one.
+the latest row of each key over its batches, and a table of increments is their
+sum; :func:`compact` folds old batches of either into one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,14 +62,27 @@ def read_keyed(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame
     return latest_by_key(read_batches(spark, path), keys, "batch_id")
 
 
-def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], upto: int) -> None:
-    """Write the state after batch ``upto`` as one batch of a new table at ``target``.
+def sum_by_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Increments of the four metrics, added up."""
+    return rows.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in METRICS])
 
-    Later batches are then written to ``target``; the old folders stay valid
-    until the switch, so a failure at any point loses nothing.
+
+def compact(
+    spark: SparkSession,
+    path: str,
+    target: str,
+    upto: int,
+    fold: Callable[[DataFrame], DataFrame],
+    partition_by: Sequence[str] = (),
+) -> None:
+    """Fold the batches up to ``upto`` into one batch of a new table at ``target``.
+
+    ``fold`` is how the table is read: :func:`latest_by_key`, :func:`sum_by_key`
+    or ``merge_partials``. The stopped stream then goes on with ``target``; the
+    old folders stay valid until that switch, so a failure loses nothing.
     """
-    state = latest_by_key(read_batches(spark, path, before=upto + 1), keys, "batch_id")
-    write_batch(state, target, upto)
+    rows = fold(read_batches(spark, path, before=upto + 1))
+    write_batch(rows, target, upto, partition_by)
 
 
 # -- output forms -----------------------------------------------------------

@@ -18,7 +18,6 @@ from footfall.operators import campaigns as campaign_ops
 from footfall.operators import goods as goods_ops
 from footfall.operators.filters import goods_hits, main_site_hits
 from footfall.operators.metrics import (
-    METRICS,
     NAME,
     VISITOR,
     contributions,
@@ -35,6 +34,7 @@ from footfall.sinks import (
     latest_by_key,
     read_batches,
     read_keyed,
+    sum_by_key,
     write_batch,
 )
 
@@ -125,8 +125,7 @@ def stream_pvuv_by_day(
 
 
 def read_pvuv_by_day(spark: SparkSession, path: str) -> DataFrame:
-    rows = read_batches(spark, path)
-    return rows.groupBy(*SITE_DIMS).agg(*[F.sum(m).alias(m) for m in METRICS])
+    return sum_by_key(read_batches(spark, path), SITE_DIMS)
 
 
 def stream_uv(

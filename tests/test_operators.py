@@ -134,7 +134,9 @@ def test_keyed_batches_replay_and_compact(spark, tmp_path):
     want = [("2024-01-01", "a", 1), ("2024-01-01", "b", 3), ("2024-01-01", "c", 3)]
     read = sinks.read_keyed(spark, path, sinks.SNAPSHOT_KEYS)
     assert tuples(read, "date", "minute", "pv") == want
-    sinks.compact(spark, path, target, sinks.SNAPSHOT_KEYS, upto=1)
+    sinks.compact(
+        spark, path, target, 1, lambda r: sinks.latest_by_key(r, sinks.SNAPSHOT_KEYS, "batch_id")
+    )
     sinks.write_batch(batch(4, "a"), target, 2)
     read = sinks.read_keyed(spark, target, sinks.SNAPSHOT_KEYS)
     assert tuples(read, "date", "minute", "pv") == [("2024-01-01", "a", 4), *want[1:]]

@@ -60,6 +60,20 @@ def test_daily_metrics_go_on_from_the_checkpoint(spark, tmp_path):
     assert increments.count() <= 4 + 3
 
 
+def test_stream_goes_on_after_compaction(spark, tmp_path):
+    feed, out, checkpoint = Feed(spark, tmp_path), f"{tmp_path}/out", f"{tmp_path}/cp"
+    feed.add(*BATCHES[0])
+    feed.add(*BATCHES[1])
+    streaming.stream_pvuv_by_day(feed.stream(), CONFIG, out, checkpoint).awaitTermination()
+    last = sinks.read_batches(spark, out).agg(F.max("batch_id")).first()[0]
+    sinks.compact(
+        spark, out, f"{out}2", last, lambda r: sinks.sum_by_key(r, streaming.SITE_DIMS)
+    )
+    feed.add(*BATCHES[2])
+    streaming.stream_pvuv_by_day(feed.stream(), CONFIG, f"{out}2", checkpoint).awaitTermination()
+    assert tuples(streaming.read_pvuv_by_day(spark, f"{out}2"), "date", *M.METRICS) == daily_of(feed)
+
+
 def test_uv_and_snapshot_over_batches_with_late_hits(spark, tmp_path):
     feed = Feed(spark, tmp_path)
     for texts in BATCHES:
