@@ -114,57 +114,52 @@ def minute_epoch_ms(date: Column, minute: Column) -> Column:
 
 
 def segments(query: Column) -> Column:
-    return F.split(query, "&")
+    """The ``K=V`` segments, last first, without trailing ``=``.
 
+    ``K``, ``K=`` and ``K==`` all become ``K``, a key without a value.
+    """
 
-def _trimmed(segment: Column) -> Column:
-    """A segment without trailing ``=``."""
-    return F.rtrim(segment, F.lit("="))
+    def trimmed(s: Column) -> Column:
+        return F.when(F.endswith(s, F.lit("=")), F.rtrim(s, F.lit("="))).otherwise(s)
 
+    return F.transform(F.reverse(F.split(query, "&")), trimmed)
 
-def last_segment(segs: Column, key: str) -> Column:
-    """The segment that sets ``key``, the last one if repeated; NULL if absent.
 
-    A value that itself contains ``=`` drops its pair.
-    """
-    prefix = f"{key}="
+def segment_keys(segs: Column) -> Column:
+    """The key of each segment; empty if its value contains ``=``, which drops the pair."""
+
+    def key(s: Column) -> Column:
+        return F.when(F.substring_index(s, "=", 2) == s, F.substring_index(s, "=", 1)).otherwise("")
 
-    def holds(s: Column) -> Column:
-        value = F.substr(_trimmed(s), F.lit(len(prefix) + 1))
-        return (F.startswith(s, F.lit(prefix)) & ~F.contains(value, F.lit("="))) | (s == key)
+    return F.transform(segs, key)
 
-    near = F.filter(segs, lambda s: F.startswith(s, F.lit(key)))
-    return F.try_element_at(F.filter(near, holds), F.lit(-1))
+
+def last_segment(segs: Column, keys: Column, key: Column | str) -> Column:
+    """The segment that sets ``key``, the last one if repeated; NULL if absent."""
+    return F.get(segs, (F.array_position(keys, key) - 1).cast("int"))
 
 
 def segment_value(segment: Column, key: str, empty: str = EMPTY_VALUE) -> Column:
-    """The value in a :func:`last_segment`; ``K``, ``K=`` and ``K==`` have none."""
-    value = F.substr(_trimmed(segment), F.lit(len(key) + 2))
+    """The value in a :func:`last_segment`."""
+    value = F.substr(segment, F.lit(len(key) + 2))
     return F.when(value == "", F.lit(empty)).otherwise(value)
 
 
-def parameter_map(segs: Column, empty: str = EMPTY_VALUE) -> Column:
+def parameter_map(segs: Column, keys: Column, empty: str = EMPTY_VALUE) -> Column:
     """All parameters as a map, by the same rules; pairs without a key are dropped.
 
     Keys are made distinct before the map is built, so the result does not
     depend on ``spark.sql.mapKeyDedupPolicy``.
     """
-    pairs = F.filter(
-        F.transform(segs, lambda s: F.split(_trimmed(s), "=")),
-        lambda p: (F.size(p) <= 2) & (F.get(p, F.lit(0)) != ""),
-    )
-
-    def last_wins(ps: Column) -> Column:
-        def entry(k: Column) -> Column:
-            last = F.element_at(F.filter(ps, lambda p: F.get(p, F.lit(0)) == k), -1)
-            value = F.nullif(F.get(last, F.lit(1)), F.lit(""))
-            return F.struct(k.alias("key"), F.coalesce(value, F.lit(empty)).alias("value"))
-
-        keys = F.array_distinct(F.transform(ps, lambda p: F.get(p, F.lit(0))))
-        return F.map_from_entries(F.transform(keys, entry))
-
-    # The one-element array binds the pairs once for the nested lambdas.
-    return F.get(F.transform(F.array(pairs), last_wins), F.lit(0))
+
+    def entry(key: Column) -> Column:
+        value = F.substr(last_segment(segs, keys, key), F.length(key) + 2)
+        return F.struct(
+            key.alias("key"), F.coalesce(F.nullif(value, F.lit("")), F.lit(empty)).alias("value")
+        )
+
+    distinct = F.array_distinct(F.filter(keys, lambda k: k != ""))
+    return F.map_from_entries(F.transform(distinct, entry))
 
 
 def url_decode(text: Column, times: int = 3) -> Column:

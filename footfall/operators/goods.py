@@ -13,7 +13,8 @@ STATE_KEYS = ("website_name", "port", "pcode", "goods_name")
 
 def goods_events(hits: DataFrame) -> DataFrame:
     """One row for each goods event of a payload: ``port, pcode, state`` and its position."""
-    kept = [c for c in hits.columns if c not in ("segments", "line", "cle", "ps", "page_url")]
+    parsed = ("line", "query", "segments", "keys", "cle", "ps", "page_url")
+    kept = [c for c in hits.columns if c not in parsed]
     rows = hits.select(*kept, F.posexplode(goods_event_texts(F.col("cle"))).alias("pos", "event"))
     return rows.select(*kept, "pos", *goods_event_fields(F.col("event")))
 

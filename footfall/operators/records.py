@@ -39,7 +39,7 @@ def _is_parsable() -> Column:
 
 
 def parse_records(lines: DataFrame) -> DataFrame:
-    """``lines`` with ``time``, ``date``, ``minute`` and the query-string ``segments``.
+    """``lines`` with ``time``, ``date``, ``minute`` and the ``query`` string.
 
     Lines that cannot be parsed are dropped; :func:`rejects` returns them.
     """
@@ -49,10 +49,18 @@ def parse_records(lines: DataFrame) -> DataFrame:
         F.col("_time").alias("time"),
         P.event_date(F.col("_time")).alias("date"),
         P.event_minute(F.col("_time")).alias("minute"),
-        P.segments(P.query_text(F.col("_parts"))).alias("segments"),
+        P.query_text(F.col("_parts")).alias("query"),
     ).drop("_time", "_parts")
 
 
+def with_segments(records: DataFrame) -> DataFrame:
+    """Split the query string once; fields are then looked up in the two arrays."""
+    if "segments" in records.columns:
+        return records
+    split = evaluate_once(records, P.segments(F.col("query")).alias("segments"))
+    return evaluate_once(split, P.segment_keys(F.col("segments")).alias("keys"))
+
+
 def rejects(lines: DataFrame) -> DataFrame:
     """The lines that :func:`parse_records` drops, with the reason."""
     bad = _with_parts(lines).filter(~_is_parsable())
@@ -73,9 +81,9 @@ def with_fields(records: DataFrame, *names: str) -> DataFrame:
     decoded = {"page_url": "pu", "title": "tt"}
     sources = {decoded.get(name, name) for name in names}
     found = evaluate_once(
-        records,
+        with_segments(records),
         *[
-            P.last_segment(F.col("segments"), P.FIELD_KEYS[source]).alias(f"_{source}")
+            P.last_segment(F.col("segments"), F.col("keys"), P.FIELD_KEYS[source]).alias(f"_{source}")
             for source in sorted(sources)
         ],
     )
@@ -100,14 +108,15 @@ def field_defaults(records: DataFrame, *names: str) -> DataFrame:
 
 def explode_params(records: DataFrame, empty: str = P.EMPTY_VALUE) -> DataFrame:
     """One ``(key, value)`` row for each parameter of each record."""
-    kept = [F.col(f"`{name}`") for name in records.columns if name != "segments"]
-    params = P.parameter_map(F.col("segments"), empty)
-    return records.select(*kept, F.explode(params).alias("key", "value"))
+    kept = [F.col(f"`{name}`") for name in records.columns]
+    params = P.parameter_map(F.col("segments"), F.col("keys"), empty)
+    return with_segments(records).select(*kept, F.explode(params).alias("key", "value"))
 
 
 def params_text(records: DataFrame, empty: str = P.EMPTY_VALUE) -> DataFrame:
     """Add ``params``: the parameter map, and ``params_text``: it as sorted text."""
-    out = evaluate_once(records, P.parameter_map(F.col("segments"), empty).alias("params"))
+    params = P.parameter_map(F.col("segments"), F.col("keys"), empty)
+    out = evaluate_once(with_segments(records), params.alias("params"))
     entries = F.transform(
         F.map_entries("params"), lambda e: F.concat(e["key"], F.lit("="), e["value"])
     )

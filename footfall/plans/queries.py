@@ -225,10 +225,7 @@ def register_view(spark, sf_dir):
 
 @query
 def parse_records(spark, sf_dir):
-    rows = _records(spark, sf_dir)
-    return rows.select(
-        "event_id", "date", "minute", F.array_join("segments", "&").alias("query")
-    )
+    return _records(spark, sf_dir).select("event_id", "date", "minute", "query")
 
 
 @query
