@@ -77,9 +77,11 @@ from (
 """
 
 GOODS_SQL = """
-select p_name as goods_name, cast(p_partkey as string) as goods_business_cd,
+select p_name as goods_name,
+       case when p_partkey % 3 = 0 then 'old-' else '' end || cast(p_partkey as string)
+         as goods_business_cd,
        cast(p_size % 7 as int) as website_cd
-from part where p_partkey % 3 <> 0
+from part
 """
 
 WEBSITE_SQL = """

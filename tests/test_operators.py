@@ -35,7 +35,10 @@ NEW = [
 
 
 def test_codes_follow_first_appearance_then_title(spark, known):
-    want = [("A", "tt1"), ("B", "tt7"), ("V", "tt8"), ("W", "tt12"), ("X", "tt9"), ("Y", "tt10"), ("Z", "tt11")]
+    want = [
+        ("A", "tt1"), ("B", "tt7"), ("V", "tt8"), ("W", "tt12"),
+        ("X", "tt9"), ("Y", "tt10"), ("Z", "tt11"),
+    ]
     assert tuples(C.campaign_codes(titled(spark, NEW), known), "title", "code") == want
     shuffled = titled(spark, NEW[::-1]).repartition(5)
     assert tuples(C.campaign_codes(shuffled, known), "title", "code") == want
@@ -58,10 +61,9 @@ def test_start_code_and_empty_dimension(spark, known):
 
 def test_codes_sharing_titles_are_pooled(spark):
     both = spark.sql("select * from values ('T1', 'tt1'), ('T2', 'tt1') as c(title, code)")
-    source = lines(
-        spark,
-        *[line(f"{GOOD}&PU=/activity/1&TT={t}&CUC={c}&RC=0&UN=n") for t, c in (("T1", "a"), ("T2", "a"), ("T2", "b"))],
-    )
+    seen = (("T1", "a"), ("T2", "a"), ("T2", "b"))
+    texts = [line(f"{GOOD}&PU=/activity/1&TT={t}&CUC={c}&RC=0&UN=n") for t, c in seen]
+    source = lines(spark, *texts)
     hits = C.activity_hits(source, CONFIG)
     assert tuples(C.metrics_by_campaign(hits, both), "code", "pv", "uv", "rc", "un") == [("tt1", 3, 2, 2, 1)]
 
@@ -74,7 +76,10 @@ def test_activity_tests(spark):
         line(f"{GOOD}&PU=x&TT=activity"),
         line(f"{GOOD}&PU=x"),
     )
-    ids = {t: [e for (e,) in tuples(C.activity_hits(source, CONFIG, t), "event_id")] for t in ("path", "word", "raw")}
+    ids = {
+        t: [e for (e,) in tuples(C.activity_hits(source, CONFIG, t), "event_id")]
+        for t in ("path", "word", "raw")
+    }
     assert ids == {"path": [0], "word": [0, 1], "raw": [0, 1, 2]}
     with pytest.raises(ValueError):
         C.activity_hits(source, CONFIG, "other")
@@ -144,8 +149,8 @@ def test_keyed_batches_replay_and_compact(spark, tmp_path):
 
 def test_write_by_date_replaces_only_its_dates(spark, tmp_path):
     path = f"{tmp_path}/t"
-    sinks.write_by_date(spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "v int, date string"), path)
-    sinks.write_by_date(spark.createDataFrame([(3, "2024-01-02")], "v int, date string"), path)
+    for rows in ([(1, "2024-01-01"), (2, "2024-01-02")], [(3, "2024-01-02")]):
+        sinks.write_by_date(spark.createDataFrame(rows, "v int, date string"), path)
     assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 3]
 
 
@@ -206,4 +211,5 @@ def test_running_list_is_newest_first(spark):
 
 def test_lookup_of_titles_counts_every_registered_hit(spark, known):
     hits = spark.createDataFrame([(t,) for t in "AABC"], "title string").withColumn("n", F.lit(1))
-    assert tuples(C.campaign_lookup(hits, known), "title", "code") == [("A", "tt1"), ("A", "tt1"), ("B", "tt7")]
+    rows = C.campaign_lookup(hits, known)
+    assert tuples(rows, "title", "code") == [("A", "tt1"), ("A", "tt1"), ("B", "tt7")]

@@ -152,7 +152,8 @@ def test_new_titles_get_codes_batch_by_batch(spark, tmp_path):
         ("0", "tt4"), ("A", "tt1"), ("B", "tt2"), ("C", "tt3"),
     ]
     assert tuples(streaming.read_activity(spark, out), "code", "title", *M.METRICS) == [
-        ("tt1", "A", 1, 1, 0, 0), ("tt2", "B", 1, 1, 0, 0), ("tt3", "C", 2, 2, 2, 1), ("tt4", "0", 1, 1, 0, 0),
+        ("tt1", "A", 1, 1, 0, 0), ("tt2", "B", 1, 1, 0, 0),
+        ("tt3", "C", 2, 2, 2, 1), ("tt4", "0", 1, 1, 0, 0),
     ]
 
 
