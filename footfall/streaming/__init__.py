@@ -89,13 +89,18 @@ def stream_pvuv_by_day(
 
     The state has one row for each member of the last days. A member is new
     when its first batch is this one, so a batch writes increments of a few
-    rows. Hits count under the batch's own time as their member.
+    rows. Hits count under the batch's own time as their member, and a visitor
+    is a second member, of its own kind, once seen on a first visit.
     """
     hits = main_site_hits(lines, config, "cuc", "rc", "un")
     members = contributions(hits, SITE_DIMS, un_policy, minutes=True)
+    kind, first_visit = F.col("kind"), "first_visit"
+    is_first_visit = (kind == VISITOR) & F.col("is_rc")
+    kinds = F.when(is_first_visit, F.array(kind, F.lit(first_visit))).otherwise(F.array(kind))
+    members = members.withColumn("kind", F.explode(kinds))
     members = members.withColumn("stamp", F.current_timestamp())
     stamp = F.col("stamp")
-    is_member = F.col("kind").isin(VISITOR, NAME)
+    is_member = kind.isin(VISITOR, NAME, first_visit)
     members = members.withColumn(
         "member", F.when(is_member, F.col("member")).otherwise(stamp.cast("string"))
     )
@@ -106,18 +111,16 @@ def stream_pvuv_by_day(
             F.count("*").alias("n"),
             F.min(stamp).alias("first"),
             F.max(stamp).alias("last"),
-            F.min(F.when(F.col("is_rc"), stamp)).alias("first_rc"),
         )
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
         new = F.col("first") == F.col("last")
-        is_visitor = F.col("kind") == VISITOR
         increments = batch.groupBy(*SITE_DIMS).agg(
             F.coalesce(F.sum(F.when(~is_member, F.col("n"))), F.lit(0)).alias("pv"),
-            F.count_if(is_visitor & new).alias("uv"),
-            F.count_if(is_visitor & (F.col("first_rc") == F.col("last"))).alias("rc"),
-            F.count_if((F.col("kind") == NAME) & new).alias("un"),
+            F.count_if((kind == VISITOR) & new).alias("uv"),
+            F.count_if((kind == first_visit) & new).alias("rc"),
+            F.count_if((kind == NAME) & new).alias("un"),
         )
         write_batch(increments, path, batch_id)
 
