@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from footfall.llm import token_counts
+from footfall.llm import quality_gbt, token_counts, toxicity_ftrl
 from footfall.llm.tables import table
 
 QUERIES = {}
@@ -17,6 +17,16 @@ def query(name):
     return register
 
 
+@query("op5_toxicity")
+def op5(spark, sf_dir):
+    return toxicity_ftrl.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_quality")
+def op7(spark, sf_dir):
+    return quality_gbt.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op9_token_counts")
 def op9(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
