@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from footfall.llm import quality_gbt, token_counts, toxicity_ftrl
-from footfall.llm.tables import table
+from footfall.llm import minhash_dedup, quality_gbt, token_counts, toxicity_ftrl
+from footfall.llm.tables import ship_package, table
 
 QUERIES = {}
 ORACLES = {}
@@ -11,12 +11,21 @@ ORACLES = {}
 
 def query(name):
     def register(run):
-        QUERIES[name] = run
+        def shipped(spark, sf_dir):
+            ship_package(spark)
+            return run(spark, sf_dir)
+
+        QUERIES[name] = shipped
         return run
 
     return register
 
 
+@query("op1_minhash_dedup")
+def op1(spark, sf_dir):
+    return minhash_dedup.components(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 @query("op5_toxicity")
 def op5(spark, sf_dir):
     return toxicity_ftrl.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

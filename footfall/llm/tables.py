@@ -2,12 +2,34 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+ROOT = Path(__file__).resolve().parents[2]
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors where it is not on their path already."""
+    context = spark.sparkContext
+    on_path = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    here = context.master.startswith("local[") and Path.cwd() == ROOT
+    if here or str(ROOT) in on_path or getattr(context, "_footfall_shipped", False):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="footfall-code-")) / "footfall.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in (ROOT / "footfall").rglob("*.py"):
+            out.write(path, path.relative_to(ROOT))
+    context.addPyFile(str(archive))
+    context._footfall_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -48,37 +70,61 @@ def training_labels(labels: DataFrame, label: str, rows: int) -> DataFrame:
     )
 
 
+def bitmap(hashes: DataFrame, column: str, bits: int = 1 << 25) -> np.ndarray:
+    """A filter of fixed size (``bits``) over a column of 64-bit hashes, as 64-bit words.
+
+    Whatever the number of rows, no more than ``bits`` bits reach the driver. A
+    set that fills it only lets more rows pass; an exact join must follow.
+    """
+    slot = F.pmod(F.col(column), F.lit(bits))
+    words = (
+        hashes.select(slot.alias("slot"))
+        .groupBy(F.shiftright("slot", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("mask"))
+        .toArrow()
+    )
+    filled = np.zeros(bits // 64, np.uint64)
+    filled[words["word"].to_numpy()] = words["mask"].to_numpy().view(np.uint64)
+    return filled
+
+
+def in_bitmap(filled: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """For each hash (signed or not), whether its bit is set."""
+    slot = hashes.astype(np.uint64) & np.uint64(len(filled) * 64 - 1)
+    word = filled[(slot >> np.uint64(6)).astype(np.int64)]
+    return (word >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for each node of undirected ``edges (a, b)``; root is the smallest node reachable.
 
     Alternates two steps until nothing changes: each node ties its larger
     neighbours to its smallest neighbour, then its smaller neighbours and itself
     likewise. Both are groupings with a map-side minimum and a join, so a node
-    with many neighbours is never gathered in one row.
+    with many neighbours is never gathered in one row. Rows with nulls and loops
+    are left out.
     """
+
+    def state(df):
+        return df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+
     edges = stored(
-        edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        edges.dropna()
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .where("a != b")
         .distinct()
     )
+    before = state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = (
-            both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        ).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (
-            large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .unionByName(least.select("a", F.col("m").alias("b")))
-            .distinct()
-        )
-        following = stored(small)
-        changed = (
-            edges.exceptAll(following).limit(1).count() or following.exceptAll(edges).limit(1).count()
-        )
-        edges = following
-        if not changed:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
-                edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-            )
+        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
+        larger = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        larger = larger.distinct()
+        least = larger.groupBy("a").agg(F.min("b").alias("m"))
+        smaller = larger.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = stored(smaller.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        after = state(edges)
+        if after == before:
+            roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
+        before = after
