@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from footfall.llm import minhash_dedup, quality_gbt, token_counts, toxicity_ftrl
+from pyspark.sql import functions as F
+
+from footfall.llm import decontamination, minhash_dedup, quality_gbt, token_counts, toxicity_ftrl
 from footfall.llm.tables import ship_package, table
 
 QUERIES = {}
@@ -36,6 +38,12 @@ def op7(spark, sf_dir):
     return quality_gbt.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op8_decontamination")
+def op8(spark, sf_dir):
+    found = decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(F.max("equal_words").alias("equal_words"), F.max("window").alias("window"))
+
+
 @query("op9_token_counts")
 def op9(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
