@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from footfall.llm import decontamination, minhash_dedup, quality_gbt, token_counts, toxicity_ftrl
+from footfall.llm import decontamination, minhash_dedup, quality_gbt, substring_dedup, token_counts, toxicity_ftrl
 from footfall.llm.tables import ship_package, table
 
 QUERIES = {}
@@ -47,3 +47,8 @@ def op8(spark, sf_dir):
 @query("op9_token_counts")
 def op9(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op10_substring_dedup")
+def op10(spark, sf_dir):
+    return substring_dedup.repeat_report(table(spark, sf_dir, "documents"))
