@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from footfall.llm import chat_windows, decontamination, minhash_dedup, privacy, quality_gbt, substring_dedup, token_counts, toxicity_ftrl
+from footfall.llm import ann_search, chat_windows, decontamination, minhash_dedup, privacy, quality_gbt, substring_dedup, token_counts, toxicity_ftrl
 from footfall.llm.tables import ship_package, table
 
 QUERIES = {}
@@ -33,6 +33,11 @@ def op2(spark, sf_dir):
     return privacy.report(table(spark, sf_dir, "documents"))
 
 
+@query("op4_ann_search")
+def op4(spark, sf_dir):
+    return ann_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query("op5_toxicity")
 def op5(spark, sf_dir):
     return toxicity_ftrl.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
