@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from footfall.llm import ann_search, chat_windows, decontamination, minhash_dedup, privacy, quality_gbt, substring_dedup, token_counts, toxicity_ftrl
+from footfall.llm import (
+    ann_search,
+    chat_windows,
+    decontamination,
+    minhash_dedup,
+    privacy,
+    quality_gbt,
+    substring_dedup,
+    token_counts,
+    toxicity_ftrl,
+    unigram_pieces,
+)
 from footfall.llm.tables import ship_package, table
 
 QUERIES = {}
@@ -33,6 +44,11 @@ def op2(spark, sf_dir):
     return privacy.report(table(spark, sf_dir, "documents"))
 
 
+@query("op3_unigram_pieces")
+def op3(spark, sf_dir):
+    return unigram_pieces.piece_report(table(spark, sf_dir, "documents"))
+
+
 @query("op4_ann_search")
 def op4(spark, sf_dir):
     return ann_search.nearest(table(spark, sf_dir, "embeddings"))
