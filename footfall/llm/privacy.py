@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.tables import stored
+from footfall.llm.tables import free_name, stored
 
 #: In this order; each with a cheap test, the pattern, and the test of a match.
 KINDS = ("email", "ip", "card", "phone")
@@ -202,17 +202,20 @@ def report(docs: DataFrame, **thresholds) -> DataFrame:
 
 def sanitised(docs: DataFrame, **thresholds) -> DataFrame:
     """``docs`` with personal data and disclosing terms replaced in ``text``; ``n_chars``, if any, follows."""
-    terms = stored(term_spans(docs, **thresholds).select(F.col("row").alias("_row"), F.col("terms").alias("_terms")))
+    own_row, own_terms, own_spans, own_clean = (
+        free_name(docs, name) for name in ("_row", "_terms", "_spans", "_clean")
+    )
+    terms = stored(term_spans(docs, **thresholds).select(F.col("row").alias(own_row), F.col("terms").alias(own_terms)))
     if terms.count() <= BROADCAST_ROWS:
         terms = F.broadcast(terms)
-    joined = docs.join(terms, F.xxhash64(docs["doc_id"], docs["text"]) == terms["_row"], "left")
+    joined = docs.join(terms, F.xxhash64(docs["doc_id"], docs["text"]) == terms[own_row], "left")
     base = F.transform(
         base_spans(F.coalesce("text", F.lit(""))),
         lambda s: F.struct(
             s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(False).alias("remove")
         ),
     )
-    spans = F.array_sort(F.concat(base, F.coalesce("_terms", F.array().cast("array<struct<start:int,kind:int,end:int,remove:boolean>>"))))
+    spans = F.array_sort(F.concat(base, F.coalesce(own_terms, F.array().cast("array<struct<start:int,kind:int,end:int,remove:boolean>>"))))
     marks = F.array(*(F.lit(f"<{kind.upper()}>") for kind in (*KINDS, "term")))
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
     text = F.col("text")
@@ -230,8 +233,8 @@ def sanitised(docs: DataFrame, **thresholds) -> DataFrame:
         rest = F.substring(text, state["at"] + 1, F.length(text) - state["at"])
         return F.concat(F.array_join(state["parts"], ""), rest)
 
-    found = joined.withColumn("_spans", spans)
-    clean = F.when(F.size("_spans") > 0, F.aggregate("_spans", empty, extend, finish)).otherwise(text)
-    found = found.withColumn("_clean", clean)
-    replaced = {"text": F.col("_clean"), "n_chars": F.length("_clean").cast("bigint")}
+    found = joined.withColumn(own_spans, spans)
+    clean = F.when(F.size(own_spans) > 0, F.aggregate(own_spans, empty, extend, finish)).otherwise(text)
+    found = found.withColumn(own_clean, clean)
+    replaced = {"text": F.col(own_clean), "n_chars": F.length(own_clean).cast("bigint")}
     return found.select(*(replaced.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))

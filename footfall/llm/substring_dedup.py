@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.tables import bitmap, in_bitmap, stored
+from footfall.llm.tables import bitmap, free_name, in_bitmap, stored
 from footfall.llm.words import mix, to_bytes
 
 MIN_BYTES = 200
@@ -360,21 +360,26 @@ def covered(length: int, found: list[dict], min_bytes: int, keep_first: bool) ->
 
 
 def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, keep_first: bool = True) -> DataFrame:
-    """``docs`` with two more columns: ``_kept`` (bytes that stay) and ``_spans`` (removed runs)."""
+    """``docs`` with two more columns: ``_kept`` (bytes that stay) and ``_spans`` (removed runs).
+
+    The two take the place of columns of the same names.
+    """
+    docs = docs.drop("_kept", "_spans")
     found = repeats(docs, min_bytes, keep_first)
-    joined = docs.withColumn("_row", F.xxhash64("doc_id", "text")).join(
-        found.toDF("_row", "_found"), "_row", "left"
+    own_row, own_found = free_name(docs, "_row"), free_name(docs, "_found")
+    joined = docs.withColumn(own_row, F.xxhash64("doc_id", "text")).join(
+        found.toDF(own_row, own_found), own_row, "left"
     )
 
     def cut(batches):
         for batch in batches:
             kept, spans = [], []
-            for text, pieces_ in zip(batch.column("text").to_pylist(), batch.column("_found").to_pylist()):
+            for text, pieces_ in zip(batch.column("text").to_pylist(), batch.column(own_found).to_pylist()):
                 raw = np.frombuffer(to_bytes(text), np.uint8)
                 gone = covered(len(raw), pieces_, min_bytes, keep_first)
                 kept.append(raw[~gone].tobytes())
                 spans.append(int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum()))
-            rest = batch.select([c for c in batch.schema.names if c not in ("_row", "_found")])
+            rest = batch.select([c for c in batch.schema.names if c not in (own_row, own_found)])
             yield rest.append_column("_kept", pa.array(kept, pa.binary())).append_column(
                 "_spans", pa.array(spans, pa.int64())
             )
