@@ -104,6 +104,7 @@ CAMPAIGNS_SQL = "select * from (values {}) as c(title, code)".format(
     ", ".join(f"('{title}', '{code}')" for title, code in CAMPAIGNS)
 )
 
+# Site numbers and payment tokens of the rule tables.
 FIXTURE_CONFIG = TrafficConfig(
     main_site="10000001",
     site_list=("10000071", "10000008"),
@@ -131,21 +132,8 @@ FIXTURE_CONFIG = TrafficConfig(
 )
 
 
-def _table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A given table; one that comes in fewer splits than there are cores is spread out.
-
-    Reading lines is bound by CPU, so a single small file would leave all
-    cores but one idle. Tables of many splits are never shuffled here.
-    """
-    source = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if table == "events" and source.rdd.getNumPartitions() < cores:
-        return source.repartition(cores)
-    return source
-
-
 def _from_table(spark: SparkSession, sf_dir: str, table: str, sql: str) -> DataFrame:
-    source = _table(spark, sf_dir, table)
+    source = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     return spark.sql(sql.replace(f"from {table}", "from {src}"), src=source)
 
 

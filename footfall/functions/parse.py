@@ -58,8 +58,8 @@ def query_text(parts: Column) -> Column:
 
 
 def has_time(time: Column) -> Column:
-    """``T`` followed by at least ``HH:mm``."""
-    return F.contains(time, F.lit("T")) & F.rlike(_clock(time), F.lit(r"^\d\d:\d\d"))
+    """``T`` followed by at least ``HH:mm``, from 00:00 to 23:59."""
+    return F.contains(time, F.lit("T")) & F.rlike(_clock(time), F.lit(r"^(?:[01][0-9]|2[0-3]):[0-5][0-9]"))
 
 
 def has_query(parts: Column) -> Column:

@@ -63,7 +63,7 @@ def new_campaign_codes(
 ) -> DataFrame:
     """``(title, code)`` for titles that have none, numbered by first appearance, then title.
 
-    Numbers follow the highest existing one, or start at ``start_code``. Titles
+    Numbers follow the highest existing one, and start at ``start_code`` at least. Titles
     are ranked within their first minute; minute counts are summed up within
     the day and day counts over the days, so no task ranks all titles.
     """
@@ -83,10 +83,8 @@ def new_campaign_codes(
     days = days.select("date", before("all", order="date").alias("days_before"))
     minutes = minutes.select("date", "minute", before("date", order="minute").alias("minutes_before"))
     rank = F.row_number().over(Window.partitionBy("date", "minute").orderBy("title"))
-    if start_code is None:
-        highest = campaigns.agg(F.coalesce(F.max(code_number(F.col("code"))), F.lit(0))).scalar()
-    else:
-        highest = F.lit(start_code - 1)
+    given = F.coalesce(F.max(code_number(F.col("code"))), F.lit(0))
+    highest = campaigns.agg(F.greatest(given, F.lit((start_code or 1) - 1))).scalar()
     ranked = (
         new.withColumn("rank", rank)
         .join(minutes, ["date", "minute"])

@@ -5,37 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-DEFAULT_SALTS = 16
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Catalyst's size estimate is within the session's broadcast threshold."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return size <= threshold
 
 
 def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    salts: int = DEFAULT_SALTS,
+    facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left"
 ) -> DataFrame:
     """Join each fact row to the lookup, whatever the lookup's size.
 
-    A lookup within the broadcast threshold is left to Catalyst, which then
-    broadcasts it. A larger one is repeated once for each salt and the facts
-    are spread over the salts, so no key, however hot, ends in one task. The
-    salted partitioning also keeps a later aggregation from reusing the join's
-    own, so adaptive execution is free to split what is still uneven.
+    Facts are on the left, where adaptive execution may split a hot key's partition;
+    whether the lookup is broadcast is Catalyst's choice.
     """
     if how not in ("inner", "left"):
         raise ValueError("facts are on the left of an inner or left join")
-    if fits_broadcast(lookup):
-        return facts.join(lookup, list(on), how)
-    salted_facts = facts.withColumn("_salt", F.spark_partition_id() % salts)
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_facts.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return facts.join(lookup, list(on), how)

@@ -57,7 +57,7 @@ def contributions(
 def partials(
     hits: DataFrame, dims: Sequence[str], un_policy: str = "named", minutes: bool = False
 ) -> DataFrame:
-    """One row for each member: hit count, first minute, first minute as a first visit.
+    """One row for each member: hit count, first and last minute, first minute as a first visit.
 
     Minutes are integers here: text in the aggregation state would turn the
     hash aggregate into a sort of all hits.
@@ -68,15 +68,23 @@ def partials(
         F.count("*").alias("n"),
         F.min(number).alias("first_minute"),
         F.min(F.when(F.col("is_rc"), number)).alias("first_rc_minute"),
+        F.max(number).alias("last_minute"),
     )
 
 
+def partials_schema(dims: Sequence[str]) -> str:
+    """The columns of :func:`partials` for text ``dims``."""
+    values = "kind string, member string, n bigint, first_minute int, first_rc_minute int, last_minute int"
+    return ", ".join([*(f"{dim} string" for dim in dims), values])
+
+
 def merge_partials(rows: DataFrame, dims: Sequence[str]) -> DataFrame:
     """Partials of several batches as the partials of all of them."""
     return rows.groupBy(*dims, "kind", "member").agg(
         F.sum("n").alias("n"),
         F.min("first_minute").alias("first_minute"),
         F.min("first_rc_minute").alias("first_rc_minute"),
+        F.max("last_minute").alias("last_minute"),
     )
 
 

@@ -18,7 +18,7 @@ def running_totals(
 ) -> DataFrame:
     """Cumulative ``columns`` over the minutes of a day, inclusive.
 
-    The input has at most 1,440 rows for each ``dims`` group.
+    The input has a row for each minute of a ``dims`` group, at most 1,440.
     """
     order = Window.partitionBy(*dims).orderBy("minute")
     frame = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -117,7 +117,7 @@ def _stored(rows: DataFrame) -> DataFrame:
 def _next_trigger(triggers: Column, order: Column) -> Column:
     """The first of the sorted triggers that is not before ``order``.
 
-    Binary search: a day has at most 1,440 triggers, so eleven halvings do.
+    Binary search, with as many halvings as the array's size takes.
     """
 
     def step(before: Column, power: Column) -> Column:
@@ -125,10 +125,28 @@ def _next_trigger(triggers: Column, order: Column) -> Column:
         trigger = F.get(triggers, probe - 1)
         return F.when(F.coalesce(trigger["first"] < order, F.lit(False)), probe).otherwise(before)
 
-    powers = F.array(*[F.lit(1 << k) for k in range(10, -1, -1)])
+    halvings = F.floor(F.log2(F.size(triggers))).cast("int")
+    powers = F.transform(
+        F.sequence(halvings, F.lit(0), F.lit(-1)),
+        lambda k: F.call_function("shiftleft", F.lit(1), k),
+    )
     return F.get(triggers, F.aggregate(powers, F.lit(0), step))
 
 
+def _arrival(rows: DataFrame, order: Sequence[str]) -> Column:
+    """The order of arrival as one value.
+
+    Two numbers of 19 digits are packed in a decimal, which hash aggregation can hold;
+    other types are compared as a struct.
+    """
+    numbers = all(rows.schema[name].dataType.typeName() in ("long", "integer") for name in order)
+    if len(order) == 2 and numbers:
+        least = F.lit(-(1 << 63))
+        high, low = (F.coalesce(name, least).cast("decimal(38,0)") for name in order)
+        return (high * F.lit("1" + "0" * 19).cast("decimal(20,0)") + low).cast("decimal(38,0)")
+    return F.struct(*order)
+
+
 def hwm_snapshot(
     hits: DataFrame,
     dims: Sequence[str] = ("date", "ws"),
@@ -144,7 +162,7 @@ def hwm_snapshot(
     each date starts its own. The hits are read twice: to find the triggers,
     and to assign each hit to the next one.
     """
-    arrival = F.struct(*order)
+    arrival = _arrival(hits, order)
     triggers = _triggers(hits, dims, arrival, across_days)
     arrays = _stored(
         triggers.groupBy(*dims).agg(

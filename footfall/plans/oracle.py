@@ -11,7 +11,7 @@ from footfall.fixtures import FIXTURE_CONFIG as CONFIG
 
 ORACLES: dict[str, str] = {}
 
-_LINE = r"^[^|]*\|_\|[^|]*\|_\|([^T|]*)T([0-9:]{5})[^|]*\|_\|[^?]*\?([^?]*)"
+_LINE = r"^[^|]*\|_\|[^|]*\|_\|([^T|]*)T((?:[01][0-9]|2[0-3]):[0-5][0-9])[^|]*\|_\|[^?]*\?([^?]*)"
 _KEYS = {
     "ws": "WS", "sws": "SWSPID", "cuc": "CUC", "rc": "RC", "un": "UN",
     "ps": "PS", "pu": "PU", "tt": "TT", "cle": "CLE",
@@ -132,7 +132,7 @@ def _four(dims: str, source: str) -> str:
 
 # -- sources and sinks ------------------------------------------------------
 
-_add("scan_hits_day", "select line from hits")
+_add("scan_hits_day", "select line from hits where line like '%|_|2024-01-15T%'")
 _add("stream_hits", "select event_id, arrival, line from hits")
 _add("stream_clicks", "select category, item, count(*) as n from clk group by category, item")
 _add(
@@ -285,9 +285,11 @@ _add(
 )
 _add(
     "rejects",
-    """
+    r"""
 select event_id, line,
-  case when len(string_split(line, '|_|')) < 4 then 'fields' else 'query' end as reason
+  case when len(string_split(line, '|_|')) < 4 then 'fields'
+    when not regexp_matches(line, '^[^|]*\|_\|[^|]*\|_\|[^T|]*T(?:[01][0-9]|2[0-3]):[0-5][0-9]') then 'time'
+    else 'query' end as reason
 from hits anti join rec using (event_id)
 """,
 )
@@ -413,6 +415,25 @@ _add("hit_count", "select count(*) as n from g")
 _add("running_pvuv", "select * from running")
 
 
+def _running_four(dims: str, source: str) -> str:
+    keys = [key.strip() for key in dims.split(",")]
+    same = " and ".join(f"g.{key} = m.{key}" for key in keys)
+    return (
+        f", src as (select * from {source}), moments as (select distinct {dims}, minute from src)"
+        f" select {', '.join('m.' + key for key in keys)}, m.minute, count(*) as pv,"
+        " count(distinct visitor) as uv, count(distinct case when rc = '0' then visitor end) as rc,"
+        f" count(distinct named) as un from moments m join src g on {same} and g.minute <= m.minute"
+        f" group by {', '.join('m.' + key for key in keys)}, m.minute"
+    )
+
+
+_add("running_activity_metrics", _running_four("date, code", "(select * from act join campaigns using (title))"))
+_add(
+    "running_site_list_metrics",
+    _running_four("date, ws", f"(select * from visible where ws in ({_SITES}) and cle is null)"),
+)
+
+
 def _hwm(output: str, across_days: bool = False) -> str:
     """Simulate the mark hit by hit with a running maximum over arrival order."""
     mark = "date || ' ' || minute"
@@ -440,6 +461,17 @@ snapshots as (
 
 
 _add("hwm_snapshot", _hwm("select * from snapshots"))
+_add(
+    "delta_hwm_snapshot",
+    _hwm(
+        "select date, ws, minute, "
+        + ", ".join(
+            f"cast({m} - lag({m}, 1, 0) over (partition by date, ws order by minute) as bigint) as {m}"
+            for m in ("pv", "uv", "rc", "un")
+        )
+        + " from snapshots"
+    ),
+)
 _add("hwm_snapshot_across_days", _hwm("select * from snapshots", across_days=True))
 _add(
     "emitted_minutes",
@@ -464,12 +496,22 @@ _add("campaign_codes", _CODES + "select title, code from codes")
 _add("stream_pvuv_by_day", "select * from daily")
 _add("stream_uv", "select date, ws, uv from daily")
 _add("stream_snapshot", "select * from running")
+_add("stream_pvuv_by_minute", _four("date, minute, ws", "g"))
+_add("stream_pvuv_by_subsite", ORACLES["pvuv_by_subsite"].removeprefix(BASE))
+_add("stream_pvuv_by_site_list", ORACLES["pvuv_by_site_list"].removeprefix(BASE))
+_add("stream_pv_uv_all_sites", ORACLES["pv_uv_all_sites"].removeprefix(BASE))
+_add(
+    "stream_pvuv_late",
+    ", dated as (select * replace (case when event_id % 97 = 0 then '2099-12-31'"
+    " when event_id % 89 = 0 then '2023-12-25' else date end as date) from g) "
+    + _four("date, ws", "dated"),
+)
 _add(
     "stream_activity",
     _CODES
     + ", word as (select g.*, code from g join codes using (title)"
     " where contains(page_url, 'activity')) "
-    + _four("date, code, title", "word"),
+    + _four("date, code, title", "word").replace("count(*) as pv", "max(minute) as minute, count(*) as pv"),
 )
 _add(
     "stream_goods_state",

@@ -64,6 +64,20 @@ def _goods_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return goods_ops.goods_dimension(fixtures.goods(spark, sf_dir), fixtures.website(spark, sf_dir))
 
 
+def _all_site_hits(lines: DataFrame) -> DataFrame:
+    """Hits of every site with the older sentinels, for page views and visitors only."""
+    rows = R.with_fields(R.parse_records(lines.filter(X.raw_tokens_absent(F.col("line")))), "ws", "cuc")
+    old, nothing = R.OLD_FIELD_SENTINELS, F.lit(None).cast("string")
+    return rows.select(
+        F.replace("date", F.lit("-"), F.lit("")).alias("date"),
+        F.coalesce("ws", F.lit(old["ws"])).alias("ws"),
+        F.coalesce("cuc", F.lit(old["cuc"])).alias("cuc"),
+        nothing.alias("rc"),
+        nothing.alias("un"),
+        "minute",
+    )
+
+
 def _running(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.running_metrics(_metric_hits(spark, sf_dir), DIMS)
 
@@ -80,6 +94,11 @@ def _staged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.stream_files(spark, folder, "event_id bigint, arrival bigint, line string", files)
 
 
+def _stream_metrics(spark: SparkSession, hits: DataFrame, dims: tuple[str, ...]) -> DataFrame:
+    path = _run(lambda p, c: streaming.stream_metrics(hits, dims, p, c, fold_every=2), spark)
+    return streaming.read_metrics(spark, path, dims)
+
+
 def _run(start: Callable[[str, str], object], spark: SparkSession) -> str:
     """Run a stream over all available input; return its output folder."""
     base = shared_folder(spark, "out")
@@ -94,8 +113,10 @@ def _run(start: Callable[[str, str], object], spark: SparkSession) -> str:
 def scan_hits_day(spark, sf_dir):
     root = shared_folder(spark, "days")
     lines = fixtures.hits(spark, sf_dir).select("line")
-    lines.write.text(f"{root}/2024/01/05/00/traffic")
-    return sources.scan_hits_day(spark, root, "20240105")
+    for day in ("14", "15", "16"):
+        of_day = lines.filter(F.contains("line", F.lit(f"|_|2024-01-{day}T")))
+        of_day.write.text(f"{root}/2024/01/{day}/00/traffic")
+    return sources.scan_hits_day(spark, root, "20240115")
 
 
 @query
@@ -437,14 +458,7 @@ def pv_uv_by_day(spark, sf_dir):
 
 @query
 def pv_uv_all_sites(spark, sf_dir):
-    lines = fixtures.hits(spark, sf_dir).filter(X.raw_tokens_absent(F.col("line")))
-    rows = R.with_fields(R.parse_records(lines), "ws", "cuc")
-    old = R.OLD_FIELD_SENTINELS
-    rows = rows.select(
-        F.replace("date", F.lit("-"), F.lit("")).alias("date"),
-        F.coalesce("ws", F.lit(old["ws"])).alias("ws"),
-        F.coalesce("cuc", F.lit(old["cuc"])).alias("cuc"),
-    )
+    rows = _all_site_hits(fixtures.hits(spark, sf_dir))
     return M.views_and_visitors(rows, DIMS, F.col("cuc"))
 
 
@@ -537,6 +551,24 @@ def running_activity_pv(spark, sf_dir):
     return W.running_views(_title_hits(spark, sf_dir), ["date"])
 
 
+@query
+def running_site_list_metrics(spark, sf_dir):
+    hits = X.site_list_hits(fixtures.hits(spark, sf_dir), CONFIG, "cuc", "rc", "un")
+    return W.running_metrics(hits, DIMS)
+
+
+@query
+def running_activity_metrics(spark, sf_dir):
+    hits = campaign_ops.campaign_lookup(_activity_hits(spark, sf_dir), fixtures.campaigns(spark))
+    return W.running_metrics(hits, ["date", "code"])
+
+
+@query
+def delta_hwm_snapshot(spark, sf_dir):
+    snapshots = W.hwm_snapshot(_metric_hits(spark, sf_dir), DIMS)
+    return W.delta_prev_snapshot(snapshots, DIMS)
+
+
 @query
 def hwm_snapshot(spark, sf_dir):
     return W.hwm_snapshot(_metric_hits(spark, sf_dir), DIMS)
@@ -606,6 +638,40 @@ def stream_activity(spark, sf_dir):
     return streaming.read_activity(spark, path)
 
 
+@query
+def stream_pvuv_by_minute(spark, sf_dir):
+    hits = X.main_site_hits(_staged_lines(spark, sf_dir), CONFIG, "cuc", "rc", "un")
+    return _stream_metrics(spark, hits, ("date", "minute", "ws"))
+
+
+@query
+def stream_pvuv_by_subsite(spark, sf_dir):
+    hits = X.main_site_hits(_staged_lines(spark, sf_dir), CONFIG, "sws", "cuc", "rc", "un")
+    return _stream_metrics(spark, hits.filter(F.col("sws").isin(*CONFIG.sub_sites)), ("date", "sws"))
+
+
+@query
+def stream_pvuv_by_site_list(spark, sf_dir):
+    hits = X.site_list_hits(_staged_lines(spark, sf_dir), CONFIG, "cuc", "rc", "un")
+    return _stream_metrics(spark, hits, DIMS)
+
+
+@query
+def stream_pv_uv_all_sites(spark, sf_dir):
+    rows = _stream_metrics(spark, _all_site_hits(_staged_lines(spark, sf_dir)), DIMS)
+    return rows.select("date", "ws", "pv", "uv")
+
+
+@query
+def stream_pvuv_late(spark, sf_dir):
+    """A feed with lines of a far future and of long ago among the others, in each batch."""
+    day = F.when(F.col("event_id") % 97 == 0, "2099-12-31").when(F.col("event_id") % 89 == 0, "2023-12-25")
+    moved = F.regexp_replace("line", F.lit(r"\|_\|[0-9-]{10}T"), F.concat(F.lit("|_|"), day, F.lit("T")))
+    lines = _staged_lines(spark, sf_dir).withColumn("line", F.coalesce(moved, F.col("line")))
+    path = _run(lambda p, c: streaming.stream_pvuv_by_day(lines, CONFIG, p, c, fold_every=3), spark)
+    return streaming.read_pvuv_by_day(spark, path)
+
+
 @query
 def stream_goods_state(spark, sf_dir):
     lines, dimension = _staged_lines(spark, sf_dir), _goods_dimension(spark, sf_dir)
@@ -631,9 +697,7 @@ def stream_topn_sliding(spark, sf_dir):
     stage_in_order(fixtures.clicks(spark, sf_dir), folder, "ts")
     files = files_per_batch(spark, folder)
     lines = sources.stream_files(spark, folder, sources.CLICK_SCHEMA, files)
-    path = _run(
-        lambda p, c: streaming.stream_topn_sliding(lines, p, c, "1 day", "8 hours"), spark
-    )
+    path = _run(lambda p, c: streaming.stream_topn_sliding(lines, p, c, "1 day", "8 hours"), spark)
     rows = streaming.read_topn_sliding(spark, path)
     return rows.select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"),

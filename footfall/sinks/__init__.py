@@ -30,13 +30,61 @@ def write_batch(rows: DataFrame, path: str, batch_id: int, partition_by: Sequenc
     writer.parquet(f"{path}/batch_id={batch_id}")
 
 
-def read_batches(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """Rows of all batches, or of those before ``before``; only their folders are read."""
-    rows = spark.read.option("basePath", path).parquet(f"{path}/batch_id=*")
+def read_batches(
+    spark: SparkSession,
+    path: str,
+    before: int | None = None,
+    schema: str | None = None,
+    after: int | None = None,
+) -> DataFrame:
+    """Rows of all batches, or of those before ``before`` and after ``after``; only their folders are read.
+
+    With a ``schema`` (without ``batch_id``) no file is opened to find the columns.
+    """
+    reader = spark.read.option("basePath", path)
+    reader = reader.schema(f"{schema}, batch_id bigint") if schema else reader
+    rows = reader.parquet(f"{path}/batch_id=*")
     rows = rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
     if "date" in rows.columns:
         rows = rows.withColumn("date", F.col("date").cast("string"))
-    return rows if before is None else rows.filter(F.col("batch_id") < before)
+    rows = rows if before is None else rows.filter(F.col("batch_id") < before)
+    return rows if after is None else rows.filter(F.col("batch_id") > after)
+
+
+def fold_batches(
+    spark: SparkSession,
+    path: str,
+    upto: int,
+    count: int,
+    schema: str,
+    fold: Callable[[DataFrame], DataFrame],
+    partition_by: Sequence[str] = (),
+) -> None:
+    """Fold the last ``count`` batches up to ``upto`` into one, for readers of ``read_folded``.
+
+    Only the folders of these batches are read, so the cost does not grow with the
+    table. A mark is written when the folded batch is complete; until then readers
+    see the single batches, and a replay writes the same again.
+    """
+    folders = [f"{path}/batch_id={i}" for i in range(upto - count + 1, upto + 1)]
+    rows = spark.read.option("basePath", path).schema(f"{schema}, batch_id bigint").parquet(*folders)
+    write_batch(fold(rows.drop("batch_id")), f"{path}/_folded", upto, partition_by)
+    mark_folded(spark, path, upto)
+
+
+def mark_folded(spark: SparkSession, path: str, upto: int) -> None:
+    mark = spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"))
+    mark.coalesce(1).write.mode("append").parquet(f"{path}/_marks")
+
+
+def read_folded(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The folded batches, and the single ones after them."""
+    upto = spark.read.schema("upto bigint").parquet(f"{path}/_marks").agg(F.max("upto")).first()[0]
+    rows = read_batches(spark, path, schema=schema, after=upto)
+    if upto >= 0:
+        folded = read_batches(spark, f"{path}/_folded", before=upto + 1, schema=schema)
+        rows = rows.unionByName(folded)
+    return rows.drop("batch_id")
 
 
 # -- upserts ----------------------------------------------------------------

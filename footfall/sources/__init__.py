@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,25 +39,35 @@ def scan_metric_snapshot(spark: SparkSession, path: str, date: str) -> DataFrame
     return rows.filter(F.col("date") == F.lit(date)).withColumn("date", F.col("date").cast("string"))
 
 
-def kafka_options(servers: str, topic: str, from_start: bool = False) -> dict[str, str]:
+def kafka_options(
+    servers: str,
+    topic: str,
+    from_start: bool = False,
+    offsets: dict[int, int] | None = None,
+    most_per_batch: int | None = None,
+) -> dict[str, str]:
     """Options of the Kafka source.
 
-    They place the first run only; later runs go on from the checkpoint. Data
-    that retention has removed is skipped, not an error.
+    They place the first run only: at the start, the end, or the ``offsets`` stored for each
+    partition; later runs go on from the checkpoint. ``most_per_batch`` bounds the messages of a batch, to work off
+    a backlog. Data that retention has removed is skipped, not an error.
     """
-    return {
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest" if from_start else "latest",
         "failOnDataLoss": "false",
     }
+    if offsets is not None:
+        options["startingOffsets"] = json.dumps({topic: {str(k): v for k, v in offsets.items()}})
+    if most_per_batch is not None:
+        options["maxOffsetsPerTrigger"] = str(most_per_batch)
+    return options
 
 
-def stream_hits_kafka(
-    spark: SparkSession, servers: str, topic: str, from_start: bool = False
-) -> DataFrame:
+def stream_hits_kafka(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
     """Message values of one topic as ``line``, with the arrival order of each partition."""
-    options = kafka_options(servers, topic, from_start)
+    options = kafka_options(servers, topic, **options)
     messages = spark.readStream.format("kafka").options(**options).load()
     return messages.select(
         F.col("value").cast("string").alias("line"),

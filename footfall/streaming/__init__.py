@@ -1,12 +1,13 @@
 """Streaming jobs. All read ``line`` columns and share the batch operators.
 
 Exactly-once totals: the checkpoint fixes the content of each micro-batch, and
-its output goes to a folder named after the batch, replaced on replay.
+its output goes to a folder named after the batch, replaced on replay. What a
+batch writes is associative and is merged when read, so late data always counts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,23 +19,20 @@ from footfall.operators import campaigns as campaign_ops
 from footfall.operators import goods as goods_ops
 from footfall.operators.filters import goods_hits, main_site_hits
 from footfall.operators.metrics import (
-    NAME,
-    VISITOR,
-    contributions,
     merge_partials,
     partials,
+    partials_schema,
     totals,
     visitor,
 )
 from footfall.operators.running import running_from_partials
 from footfall.operators.topn import click_keys, sliding_click_counts, top_items
 from footfall.sinks import (
-    ACTIVITY_KEYS,
-    SNAPSHOT_KEYS,
+    fold_batches,
     latest_by_key,
+    mark_folded,
     read_batches,
-    read_keyed,
-    sum_by_key,
+    read_folded,
     write_batch,
 )
 
@@ -62,135 +60,115 @@ def start(
     )
 
 
-def _with_day(rows: DataFrame, late_by: str | None) -> DataFrame:
-    """Add the hit's date as ``day``, the event time that bounds the state.
-
-    A day's state is dropped, and its later hits no longer count, once a hit
-    dated ``late_by`` or more after it has been seen in an earlier batch. Two
-    days keep yesterday open until tomorrow. ``None`` never drops a day.
-    """
-    rows = rows.withColumn("day", F.try_to_timestamp(F.col("date"), F.lit("yyyy-MM-dd")))
-    return rows.withWatermark("day", late_by) if late_by else rows
-
-
-# -- metrics by day, incremental --------------------------------------------
+# -- metrics, from partials ---------------------------------------------------
 
 
-def stream_pvuv_by_day(
-    lines: DataFrame,
-    config: TrafficConfig,
+def stream_metrics(
+    hits: DataFrame,
+    dims: Sequence[str],
     path: str,
     checkpoint: str,
     un_policy: str = "named",
-    late_by: str | None = "2 days",
+    minutes: bool = False,
     every: str | None = None,
+    fold_every: int = 64,
 ) -> StreamingQuery:
-    """The four metrics by day and site, at a cost that grows with the batch only.
+    """The four metrics of any stream of ``hits`` for each ``dims`` group; ``date`` is one of them.
 
-    The state has one row for each member of the last days. A member is new
-    when its first batch is this one, so a batch writes increments of a few
-    rows. Hits count under the batch's own time as their member, and a visitor
-    is a second member, of its own kind, once seen on a first visit.
+    A batch writes its partials: one row for each member it saw. Partials are associative, so
+    no state is kept between batches and nothing is ever too late: an old hit counts under
+    its own date, and a wrong future date is a group of its own that moves no mark. Readers merge
+    them. Each ``fold_every`` batches are folded into one, at a cost in proportion to their rows.
     """
-    hits = main_site_hits(lines, config, "cuc", "rc", "un")
-    members = contributions(hits, SITE_DIMS, un_policy, minutes=True)
-    kind, first_visit = F.col("kind"), "first_visit"
-    is_first_visit = (kind == VISITOR) & F.col("is_rc")
-    kinds = F.when(is_first_visit, F.array(kind, F.lit(first_visit))).otherwise(F.array(kind))
-    members = members.withColumn("kind", F.explode(kinds))
-    members = members.withColumn("stamp", F.current_timestamp())
-    stamp = F.col("stamp")
-    is_member = kind.isin(VISITOR, NAME, first_visit)
-    members = members.withColumn(
-        "member", F.when(is_member, F.col("member")).otherwise(stamp.cast("string"))
-    )
-    state = (
-        _with_day(members, late_by)
-        .groupBy("day", "date", "ws", "kind", "member")
-        .agg(
-            F.count("*").alias("n"),
-            F.min(stamp).alias("first"),
-            F.max(stamp).alias("last"),
-        )
-    )
+    dims = list(dims)
+    schema = partials_schema(dims)
+    mark_folded(hits.sparkSession, path, -1)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        new = F.col("first") == F.col("last")
-        increments = batch.groupBy(*SITE_DIMS).agg(
-            F.coalesce(F.sum(F.when(~is_member, F.col("n"))), F.lit(0)).alias("pv"),
-            F.count_if((kind == VISITOR) & new).alias("uv"),
-            F.count_if((kind == first_visit) & new).alias("rc"),
-            F.count_if((kind == NAME) & new).alias("un"),
-        )
-        write_batch(increments, path, batch_id)
+        write_batch(partials(batch, dims, un_policy, minutes), path, batch_id, ["date"])
+        if (batch_id + 1) % fold_every == 0:
+            fold = lambda rows: merge_partials(rows, dims)
+            fold_batches(batch.sparkSession, path, batch_id, fold_every, schema, fold, ["date"])
 
-    return start(state, write, checkpoint, "update", every)
+    return start(hits, write, checkpoint, every=every)
 
 
-def read_pvuv_by_day(spark: SparkSession, path: str) -> DataFrame:
-    return sum_by_key(read_batches(spark, path), SITE_DIMS)
+def read_partials(spark: SparkSession, path: str, dims: Sequence[str]) -> DataFrame:
+    return merge_partials(read_folded(spark, path, partials_schema(dims)), dims)
 
 
-def stream_uv(
-    lines: DataFrame,
-    config: TrafficConfig,
-    path: str,
-    checkpoint: str,
-    late_by: str | None = "2 days",
-    every: str | None = None,
+def read_metrics(spark: SparkSession, path: str, dims: Sequence[str] = SITE_DIMS) -> DataFrame:
+    """The four metrics over all hits so far; filter on ``date`` to read few folders."""
+    return totals(read_partials(spark, path, dims), dims)
+
+
+def read_running(spark: SparkSession, path: str, dims: Sequence[str] = SITE_DIMS) -> DataFrame:
+    """Cumulative metrics by minute over all hits so far, of a stream with ``minutes``."""
+    return running_from_partials(read_partials(spark, path, dims), dims)
+
+
+def stream_pvuv_by_day(
+    lines: DataFrame, config: TrafficConfig, path: str, checkpoint: str, **options
 ) -> StreamingQuery:
-    """Exact distinct visitors across batches, as a keyed table of counts."""
-    hits = main_site_hits(lines, config, "cuc").select(*SITE_DIMS, visitor().alias("cuc"))
-    first = _with_day(hits, late_by).dropDuplicates(["day", "date", "ws", "cuc"])
-    counts = first.groupBy("day", *SITE_DIMS).agg(F.count("*").alias("uv"))
+    """The four metrics of the main site by day."""
+    hits = main_site_hits(lines, config, "cuc", "rc", "un")
+    return stream_metrics(hits, SITE_DIMS, path, checkpoint, **options)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch.drop("day"), path, batch_id)
 
-    return start(counts, write, checkpoint, "update", every)
+def read_pvuv_by_day(spark: SparkSession, path: str) -> DataFrame:
+    return read_metrics(spark, path)
 
 
-def read_uv(spark: SparkSession, path: str) -> DataFrame:
-    return read_keyed(spark, path, SITE_DIMS)
+def stream_snapshot(
+    lines: DataFrame, config: TrafficConfig, path: str, checkpoint: str, **options
+) -> StreamingQuery:
+    """Cumulative metrics of the main site by minute.
+
+    Late hits correct the later minutes of their day: what is read always equals
+    the batch result over all hits so far.
+    """
+    hits = main_site_hits(lines, config, "cuc", "rc", "un")
+    return stream_metrics(hits, SITE_DIMS, path, checkpoint, minutes=True, **options)
 
 
-# -- snapshots and campaigns, from partials ---------------------------------
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    return read_running(spark, path)
 
 
-def _of_dates(rows: DataFrame, dates: DataFrame) -> DataFrame:
-    """Only the dates of this batch; other date folders are not read."""
-    return rows.join(dates, "date", "left_semi")
+UV_SCHEMA = "date string, ws string, cuc string"
 
 
-def stream_snapshot(
+def stream_uv(
     lines: DataFrame,
     config: TrafficConfig,
     path: str,
     checkpoint: str,
-    un_policy: str = "named",
     every: str | None = None,
+    fold_every: int = 64,
 ) -> StreamingQuery:
-    """Cumulative metrics by minute, upserted for the dates that a batch touches.
-
-    Late hits correct the later minutes of their day, so the table always
-    equals the batch result over all hits so far.
-    """
-    hits = main_site_hits(lines, config, "cuc", "rc", "un")
-    parts, table = f"{path}/partials", f"{path}/table"
+    """Exact distinct visitors across batches; a batch writes the visitors it saw."""
+    hits = main_site_hits(lines, config, "cuc").select(*SITE_DIMS, visitor().alias("cuc"))
+    mark_folded(hits.sparkSession, path, -1)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        write_batch(partials(batch, SITE_DIMS, un_policy, True), parts, batch_id, ["date"])
-        so_far = read_batches(spark, parts, before=batch_id + 1)
-        dates = so_far.filter(F.col("batch_id") == batch_id).select("date").distinct()
-        members = merge_partials(_of_dates(so_far, dates), SITE_DIMS)
-        write_batch(running_from_partials(members, SITE_DIMS), table, batch_id)
+        write_batch(batch.distinct(), path, batch_id, ["date"])
+        if (batch_id + 1) % fold_every == 0:
+            fold_batches(
+                batch.sparkSession, path, batch_id, fold_every, UV_SCHEMA, DataFrame.distinct, ["date"]
+            )
 
     return start(hits, write, checkpoint, every=every)
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return read_keyed(spark, f"{path}/table", SNAPSHOT_KEYS)
+def read_uv(spark: SparkSession, path: str) -> DataFrame:
+    rows = read_folded(spark, path, UV_SCHEMA)
+    return rows.groupBy(*SITE_DIMS).agg(F.count_distinct("cuc").alias("uv"))
+
+
+# -- campaigns ----------------------------------------------------------------
+
+
+ACTIVITY_DIMS = ("date", "title")
 
 
 def stream_activity(
@@ -202,43 +180,53 @@ def stream_activity(
     test: str = "word",
     un_policy: str = "named",
     every: str | None = None,
+    fold_every: int = 64,
 ) -> StreamingQuery:
-    """Campaign metrics; new titles get the next codes and are counted from their first hit."""
+    """Campaign metrics; new titles get the next codes and are counted from their first hit.
+
+    A batch writes its partials and the whole campaign dimension as it stands, read from the
+    batch before it: the cost follows the batch and the number of titles, not the past.
+    """
     hits = campaign_ops.activity_hits(lines, config, test)
-    parts, table, dims = f"{path}/partials", f"{path}/table", ["date", "title"]
+    parts, codes, dims = f"{path}/partials", f"{path}/codes", list(ACTIVITY_DIMS)
+    schema = partials_schema(dims)
+    mark_folded(hits.sparkSession, parts, -1)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         write_batch(partials(batch, dims, un_policy), parts, batch_id, ["date"])
-        so_far = read_batches(spark, parts, before=batch_id + 1)
-        current = so_far.filter(F.col("batch_id") == batch_id)
-
+        folder = f"{parts}/batch_id={batch_id}"
+        current = spark.read.option("basePath", folder).schema(schema).parquet(folder)
         known = campaigns.select("title", "code")
         if batch_id > 0:
-            known = read_codes(spark, campaigns, path, batch_id - 1)
+            known = spark.read.schema(CODE_SCHEMA).parquet(f"{codes}/batch_id={batch_id - 1}")
         minute = minute_text(F.col("first_minute")).alias("minute")
         seen = current.select("title", "date", minute)
-        write_batch(campaign_ops.new_campaign_codes(seen, known), f"{path}/codes", batch_id)
-        codes = read_codes(spark, campaigns, path, batch_id)
-
-        dates = current.select("date").distinct()
-        metrics = totals(merge_partials(_of_dates(so_far, dates), dims), dims)
-        write_batch(metrics.join(codes, "title"), table, batch_id)
+        write_batch(campaign_ops.campaign_codes(seen, known), codes, batch_id)
+        if (batch_id + 1) % fold_every == 0:
+            fold = lambda rows: merge_partials(rows, dims)
+            fold_batches(spark, parts, batch_id, fold_every, schema, fold, ["date"])
 
     return start(hits, write, checkpoint, every=every)
 
 
-def read_codes(
-    spark: SparkSession, campaigns: DataFrame, path: str, upto: int | None = None
-) -> DataFrame:
-    """The campaign dimension, with the codes that the stream has given."""
-    before = None if upto is None else upto + 1
-    given = read_batches(spark, f"{path}/codes", before).select("title", "code")
-    return campaigns.select("title", "code").unionByName(given)
+CODE_SCHEMA = "title string, code string"
+
+
+def read_codes(spark: SparkSession, path: str) -> DataFrame:
+    """The campaign dimension after the last batch."""
+    rows = read_batches(spark, f"{path}/codes", schema=CODE_SCHEMA)
+    last = rows.agg(F.max("batch_id")).first()[0]
+    return rows.filter(F.col("batch_id") == last).drop("batch_id")
 
 
 def read_activity(spark: SparkSession, path: str) -> DataFrame:
-    return read_keyed(spark, f"{path}/table", ACTIVITY_KEYS)
+    """The campaign table: metrics, title, and the last minute with a hit."""
+    members = read_partials(spark, f"{path}/partials", ACTIVITY_DIMS)
+    last = members.groupBy(*ACTIVITY_DIMS).agg(F.max("last_minute").alias("last_minute"))
+    rows = totals(members, ACTIVITY_DIMS).join(last, list(ACTIVITY_DIMS))
+    rows = rows.withColumn("minute", minute_text(F.col("last_minute"))).drop("last_minute")
+    return rows.join(read_codes(spark, path), "title")
 
 
 # -- goods ------------------------------------------------------------------
@@ -274,38 +262,43 @@ def read_goods_state(spark: SparkSession, path: str) -> DataFrame:
 # -- clicks -----------------------------------------------------------------
 
 
+TOPN_SCHEMA = (
+    "window_start timestamp, window_end timestamp, category string, item string, click_count bigint, day date"
+)
+
+
 def stream_topn_sliding(
     lines: DataFrame,
     path: str,
     checkpoint: str,
     length: str = "60 seconds",
     slide: str = "20 seconds",
-    n: int = 3,
-    late_by: str = "1 day",
     every: str | None = None,
+    fold_every: int = 64,
 ) -> StreamingQuery:
-    """Item counts in sliding windows, and the top items of each window.
+    """Item counts in sliding windows; a batch writes the counts of its own clicks.
 
-    A batch upserts the counts it changed; the rank is taken over the full
-    windows of those rows.
+    Counts add up, so a click is never too late and a batch reads no other.
     """
-    clicks = click_keys(lines.withWatermark("ts", late_by))
-    counts = sliding_click_counts(clicks, length, slide)
-    window = ("window_start", "window_end")
+    mark_folded(lines.sparkSession, path, -1)
+
+    def fold(rows: DataFrame) -> DataFrame:
+        keys = ("window_start", "window_end", "category", "item", "day")
+        return rows.groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        write_batch(batch, f"{path}/counts", batch_id)
-        so_far = read_batches(spark, f"{path}/counts", before=batch_id + 1)
-        touched = so_far.filter(F.col("batch_id") == batch_id).select(*window).distinct()
-        current = latest_by_key(
-            so_far.join(touched, list(window), "left_semi"), [*window, "category", "item"], "batch_id"
-        )
-        write_batch(top_items(current, n, window), f"{path}/top", batch_id)
+        counts = sliding_click_counts(batch, length, slide)
+        write_batch(counts.withColumn("day", F.to_date("window_start")), path, batch_id, ["day"])
+        if (batch_id + 1) % fold_every == 0:
+            fold_batches(batch.sparkSession, path, batch_id, fold_every, TOPN_SCHEMA, fold, ["day"])
 
-    return start(counts, write, checkpoint, "update", every)
+    return start(click_keys(lines), write, checkpoint, every=every)
 
 
-def read_topn_sliding(spark: SparkSession, path: str) -> DataFrame:
-    """The last ranking written for each window."""
-    return read_keyed(spark, f"{path}/top", ("window_start", "window_end", "category", "rank"))
+def read_topn_sliding(spark: SparkSession, path: str, n: int = 3, day: str | None = None) -> DataFrame:
+    """The top items of each window, or of the windows that begin on ``day``, over all clicks so far."""
+    rows = read_folded(spark, path, TOPN_SCHEMA)
+    rows = rows if day is None else rows.filter(F.col("day") == F.lit(day).cast("date"))
+    keys = ("window_start", "window_end", "category", "item")
+    counts = rows.groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
+    return top_items(counts, n, ("window_start", "window_end"))

@@ -53,7 +53,7 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles, bad = duck(sf_dir), entry.oracle_sql(), 0
     for name, query in entry.queries().items():
-        if sys.argv[2:] and name not in sys.argv[2:]:
+        if name not in oracles or (sys.argv[2:] and name not in sys.argv[2:]):
             continue
         started = time.time()
         try:

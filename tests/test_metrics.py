@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from footfall.operators import metrics as M
 from footfall.operators import running as W
-from footfall.operators.joins import fits_broadcast, lookup_join
+from footfall.operators.joins import lookup_join
 
 DIMS = ["date", "ws"]
 
@@ -126,6 +126,16 @@ def test_hwm_snapshot_of_a_full_day(spark):
     assert tuples(got, "date", "minute", *M.METRICS) == snapshots(rows, False)
 
 
+def test_hwm_snapshot_of_3000_minutes(spark):
+    """The search follows the number of triggers, whatever minutes are fed."""
+    rows = [
+        (e, e, "2024-01-01", f"{e // 60:02d}:{e % 60:02d}:00", f"c{e % 7}", "0", None)
+        for e in range(3000)
+    ]
+    got = W.hwm_snapshot(hits(spark, rows), DIMS)
+    assert tuples(got, "minute", "pv") == [(r[3], r[0] + 1) for r in rows[1:]]
+
+
 def test_hwm_snapshot_when_no_lookup_is_broadcast(spark):
     rows = random_rows(9, n=200)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -148,26 +158,6 @@ def test_prev_minute_needs_exactly_one_minute(spark):
     ]
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_lookup_equals_plain_join(spark, how):
-    rare = F.concat(F.lit("k"), F.col("id") % 50)
-    key = F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(rare).alias("k")
-    facts = spark.range(3000).select("id", key)
-    lookup = spark.sql(
-        "select * from values ('hot', 1), ('k3', 2), ('k3', 3), ('k9', null), ('none', 5) as l(k, v)"
-    )
-    plain = sorted(map(str, facts.join(lookup, "k", how).collect()))
-    assert fits_broadcast(lookup)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert not fits_broadcast(lookup)
-        salted = lookup_join(facts, lookup, ["k"], how, salts=4)
-        assert "_salt" not in salted.columns
-        assert sorted(map(str, salted.collect())) == plain
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_lookup_join_refuses_other_joins(spark):
     with pytest.raises(ValueError):
         lookup_join(spark.range(1), spark.range(1), ["id"], "right")

@@ -1,5 +1,6 @@
 """Campaigns, goods, top items, sinks."""
 
+import json
 import pytest
 from helpers import line, lines, tuples
 from pyspark.sql import functions as F
@@ -55,6 +56,8 @@ def test_codes_are_stable_when_run_again(spark, known):
 def test_start_code_and_empty_dimension(spark, known):
     new = C.new_campaign_codes(titled(spark, NEW[:1]), known, start_code=100)
     assert tuples(new, "title", "code") == [("Z", "tt100")]
+    taken = C.new_campaign_codes(titled(spark, NEW[:1]), known, start_code=2)
+    assert not set(tuples(taken, "code")) & set(tuples(known, "code"))
     empty = known.filter("false")
     assert tuples(C.campaign_codes(titled(spark, NEW[:1]), empty), "title", "code") == [("Z", "tt1")]
 
@@ -187,6 +190,9 @@ def test_kafka_options():
     options = sources.kafka_options("h:1", "t", from_start=True)
     assert options["startingOffsets"] == "earliest"
     assert (options["subscribe"], options["failOnDataLoss"]) == ("t", "false")
+    options = sources.kafka_options("h:1", "t", offsets={0: 23, 1: -2}, most_per_batch=1000)
+    assert json.loads(options["startingOffsets"]) == {"t": {"0": 23, "1": -2}}
+    assert options["maxOffsetsPerTrigger"] == "1000"
 
 
 def test_metric_keys(spark):

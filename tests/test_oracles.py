@@ -5,8 +5,9 @@ from helpers import SF
 from oracle_check import compare, duck
 
 import __spark_entry__ as entry
+from footfall.plans.oracle import ORACLES
+from footfall.plans.queries import QUERIES
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,11 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 

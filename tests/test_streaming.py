@@ -55,23 +55,34 @@ def test_daily_metrics_go_on_from_the_checkpoint(spark, tmp_path):
         streaming.stream_pvuv_by_day(feed.stream(), CONFIG, out, checkpoint).awaitTermination()
         got = tuples(streaming.read_pvuv_by_day(spark, out), "date", *M.METRICS)
         assert got == daily_of(feed)
-    increments = sinks.read_batches(spark, out)
-    assert increments.select("batch_id").distinct().count() >= 3
-    assert increments.count() <= 4 + 3
+    written = sinks.read_batches(spark, out)
+    assert written.select("batch_id").distinct().count() == 3
+    assert written.filter("batch_id = 1").count() <= 2 * len(BATCHES[1])
 
 
-def test_stream_goes_on_after_compaction(spark, tmp_path):
+def test_folded_batches_read_as_the_single_ones(spark, tmp_path):
     feed, out, checkpoint = Feed(spark, tmp_path), f"{tmp_path}/out", f"{tmp_path}/cp"
-    feed.add(*BATCHES[0])
-    feed.add(*BATCHES[1])
-    streaming.stream_pvuv_by_day(feed.stream(), CONFIG, out, checkpoint).awaitTermination()
-    last = sinks.read_batches(spark, out).agg(F.max("batch_id")).first()[0]
-    sinks.compact(
-        spark, out, f"{out}2", last, lambda r: sinks.sum_by_key(r, streaming.SITE_DIMS)
-    )
-    feed.add(*BATCHES[2])
-    streaming.stream_pvuv_by_day(feed.stream(), CONFIG, f"{out}2", checkpoint).awaitTermination()
-    assert tuples(streaming.read_pvuv_by_day(spark, f"{out}2"), "date", *M.METRICS) == daily_of(feed)
+    for texts in [*BATCHES, *BATCHES[::-1]]:
+        feed.add(*texts)
+        query = streaming.stream_pvuv_by_day(feed.stream(), CONFIG, out, checkpoint, fold_every=2)
+        query.awaitTermination()
+        assert tuples(streaming.read_pvuv_by_day(spark, out), "date", *M.METRICS) == daily_of(feed)
+    schema = M.partials_schema(streaming.SITE_DIMS)
+    folded = sinks.read_batches(spark, f"{out}/_folded", schema=schema)
+    assert tuples(folded.select("batch_id").distinct(), "batch_id") == [(1,), (3,), (5,)]
+    # the single batches that a reader still opens are those after the last mark
+    assert sinks.read_batches(spark, out, schema=schema, after=5).count() == 0
+
+
+def test_a_batch_reads_no_other(spark, tmp_path):
+    """What a micro-batch takes as input does not grow with the number of batches."""
+    feed, out = Feed(spark, tmp_path), f"{tmp_path}/out"
+    for i in range(6):
+        feed.add(*[hit(i, f"c{i}x{k}") for k in range(5)])
+    query = streaming.stream_snapshot(feed.stream(), CONFIG, out, f"{tmp_path}/cp", fold_every=100)
+    query.awaitTermination()
+    rows = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    assert len(rows) == 6 and len(set(rows)) == 1
 
 
 def test_uv_and_snapshot_over_batches_with_late_hits(spark, tmp_path):
@@ -92,27 +103,16 @@ def test_uv_and_snapshot_over_batches_with_late_hits(spark, tmp_path):
     assert sorted(last.values()) == daily_of(feed)
 
 
-def run_daily(spark, tmp_path, batches, late_by):
+def test_no_hit_is_too_late_and_no_date_moves_a_mark(spark, tmp_path):
+    future = hit(1, "z").replace("2024-01-01T", "2099-01-01T")
+    batches = ([hit(1, "a")], [future], [hit(2, "c")], [hit(1, "b", day="02")], [hit(3, "a", day="02")])
     feed, out, checkpoint = Feed(spark, tmp_path), f"{tmp_path}/out", f"{tmp_path}/cp"
     for texts in batches:
         feed.add(*texts)
-        query = streaming.stream_pvuv_by_day(
-            feed.stream(), CONFIG, out, checkpoint, late_by=late_by
-        )
-        query.awaitTermination()
-    return feed, tuples(streaming.read_pvuv_by_day(spark, out), "date", *M.METRICS)
-
-
-def test_late_hits_of_yesterday_count(spark, tmp_path):
-    batches = ([hit(1, "a")], [hit(1, "b", day="02")], [hit(2, "c")], [hit(3, "a")])
-    feed, got = run_daily(spark, tmp_path, batches, "2 days")
-    assert got == daily_of(feed)
-
-
-def test_state_may_be_kept_for_ever(spark, tmp_path):
-    batches = ([hit(1, "a")], [hit(1, "b", day="30")], [hit(2, "c")], [hit(3, "a")])
-    feed, got = run_daily(spark, tmp_path, batches, None)
+        streaming.stream_pvuv_by_day(feed.stream(), CONFIG, out, checkpoint).awaitTermination()
+    got = tuples(streaming.read_pvuv_by_day(spark, out), "date", *M.METRICS)
     assert got == daily_of(feed)
+    assert [(date, pv) for date, pv, *_ in got] == [("2024-01-01", 2), ("2024-01-02", 2), ("2099-01-01", 1)]
 
 
 def test_replay_of_a_batch_changes_nothing(spark, tmp_path):
@@ -148,7 +148,7 @@ def test_new_titles_get_codes_batch_by_batch(spark, tmp_path):
     feed.add(hit(1, "b", tail=f"{page}0"), hit(4, "c", "0", tail=f"{page}C"), hit(4, "c", tail=f"{page}A"))
     query = streaming.stream_activity(feed.stream(), CONFIG, known, out, f"{tmp_path}/cp")
     query.awaitTermination()
-    assert tuples(streaming.read_codes(spark, known, out), "title", "code") == [
+    assert tuples(streaming.read_codes(spark, out), "title", "code") == [
         ("0", "tt4"), ("A", "tt1"), ("B", "tt2"), ("C", "tt3"),
     ]
     assert tuples(streaming.read_activity(spark, out), "code", "title", *M.METRICS) == [
@@ -181,8 +181,9 @@ def test_top_items_of_windows_over_batches(spark, tmp_path):
         frame.select("line", F.col("t").cast("timestamp").alias("ts")).write.mode("append").parquet(path)
     stream = sources.stream_files(spark, path, sources.CLICK_SCHEMA, max_files=1)
     out = f"{tmp_path}/out"
-    streaming.stream_topn_sliding(stream, out, f"{tmp_path}/cp", n=1).awaitTermination()
-    rows = streaming.read_topn_sliding(spark, out)
+    streaming.stream_topn_sliding(stream, out, f"{tmp_path}/cp").awaitTermination()
+    rows = streaming.read_topn_sliding(spark, out, n=1)
+    assert streaming.read_topn_sliding(spark, out, day="2024-01-02").count() == 0
     start = F.date_format("window_start", "HH:mm:ss").alias("start")
     assert tuples(rows.select(start, "item", "click_count"), "start", "item", "click_count") == [
         ("09:59:20", "y", 2), ("09:59:40", "y", 3), ("10:00:00", "y", 3), ("10:00:20", "y", 1),
