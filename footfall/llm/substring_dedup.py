@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.tables import bitmap, free_name, in_bitmap, stored
+from footfall.llm.tables import bitmap, bitmap_bit, bitmap_rows, bitmap_word, free_name, in_bitmap, stored
 from footfall.llm.words import mix, to_bytes
 
 MIN_BYTES = 200
@@ -337,26 +337,41 @@ def repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, keep_first: bool = True
     )
 
 
-def covered(length: int, found: list[dict], min_bytes: int, keep_first: bool) -> np.ndarray:
-    """For each byte of a document, whether a repeated string covers it."""
-    starts = np.zeros(length + 1, np.int32)
-    for piece in found or []:
-        run = piece["run"]
-        for i, start in enumerate(piece["starts"]):
-            first = piece["first"] and i == 0
-            if (piece["n"] > 1 and not keep_first) or not first:
-                marked = np.ones(run, bool)
-            elif piece["earlier"] is None:
-                continue
-            else:
-                marked = np.zeros(run, bool)
-                for name in ("earlier",) if keep_first else ("earlier", "later"):
-                    bits = np.unpackbits(np.frombuffer(piece[name] or b"", np.uint8))[:run].astype(bool)
-                    marked[: len(bits)] |= bits
-            at = start + np.flatnonzero(marked)
-            starts[at] += 1
-            starts[at + min_bytes] -= 1
-    return starts.cumsum()[:length] > 0
+def _bits(packed: bytes | None, run: int) -> np.ndarray:
+    marked = np.zeros(run, bool)
+    bits = np.unpackbits(np.frombuffer(packed or b"", np.uint8))[:run]
+    marked[: len(bits)] = bits
+    return marked
+
+
+def removed_ranges(found: pa.ListArray, min_bytes: int, keep_first: bool):
+    """``document, start, end`` arrays of byte ranges to remove; documents by their place in ``found``.
+
+    A piece that occurs again, or is not the first occurrence, goes as a whole; of the other
+    pieces only the windows marked.
+    """
+    pieces_ = found.flatten()
+    document = np.repeat(np.arange(len(found)), np.diff(found.offsets.to_numpy()))
+    run, n = (pieces_.field(name).to_numpy() for name in ("run", "n"))
+    first = pieces_.field("first").to_numpy(zero_copy_only=False)
+    starts = pieces_.field("starts")
+    times = np.diff(starts.offsets.to_numpy())
+    owner = np.repeat(np.arange(len(run)), times)
+    start = starts.flatten().to_numpy().astype(np.int64)
+    earliest = np.zeros(len(owner), bool)
+    earliest[np.cumsum(times) - times] = True
+    whole = ((n > 1) & (not keep_first))[owner] | ~(first[owner] & earliest)
+    ranges = [(document[owner[whole]], start[whole], start[whole] + run[owner[whole]] + min_bytes - 1)]
+    earlier, later = pieces_.field("earlier"), pieces_.field("later")
+    partly = np.flatnonzero(~whole & earlier.is_valid().to_numpy(zero_copy_only=False)[owner])
+    for i in partly.tolist():
+        piece = int(owner[i])
+        marked = _bits(earlier[piece].as_py(), int(run[piece]))
+        if not keep_first:
+            marked |= _bits(later[piece].as_py(), int(run[piece]))
+        at = start[i] + np.flatnonzero(marked)
+        ranges.append((np.full(len(at), document[piece]), at, at + min_bytes))
+    return tuple(np.concatenate(column) for column in zip(*ranges))
 
 
 def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, keep_first: bool = True) -> DataFrame:
@@ -365,20 +380,34 @@ def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, keep_first: boo
     The two take the place of columns of the same names.
     """
     docs = docs.drop("_kept", "_spans")
-    found = repeats(docs, min_bytes, keep_first)
+    found = stored(repeats(docs, min_bytes, keep_first))
     own_row, own_found = free_name(docs, "_row"), free_name(docs, "_found")
-    joined = docs.withColumn(own_row, F.xxhash64("doc_id", "text")).join(
-        found.toDF(own_row, own_found), own_row, "left"
+    rows = docs.withColumn(own_row, F.xxhash64("doc_id", "text"))
+    # texts without repeats skip the shuffle: a filter of fixed size tells most of them
+    words = F.broadcast(bitmap_rows(found, "row").toDF("_word", "_mask"))
+    in_filter = (bitmap_word(F.col(own_row)) == F.col("_word")) & bitmap_bit(F.col(own_row), F.col("_mask"))
+    joined = (
+        rows.join(words, in_filter, "left_semi")
+        .join(found.toDF(own_row, own_found), own_row, "left")
+        .unionByName(rows.join(words, in_filter, "left_anti"), allowMissingColumns=True)
     )
 
     def cut(batches):
         for batch in batches:
-            kept, spans = [], []
-            for text, pieces_ in zip(batch.column("text").to_pylist(), batch.column(own_found).to_pylist()):
-                raw = np.frombuffer(to_bytes(text), np.uint8)
-                gone = covered(len(raw), pieces_, min_bytes, keep_first)
-                kept.append(raw[~gone].tobytes())
-                spans.append(int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum()))
+            texts = [np.frombuffer(to_bytes(text), np.uint8) for text in batch.column("text").to_pylist()]
+            column = batch.column(own_found)
+            at = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
+            document, start, end = removed_ranges(column.drop_null(), min_bytes, keep_first)
+            order = np.argsort(document, kind="stable")
+            start, end = start[order], end[order]
+            bounds = np.searchsorted(document[order], np.arange(len(at) + 1))
+            kept, spans = [raw.tobytes() for raw in texts], [0] * len(texts)
+            for i, row in enumerate(at.tolist()):
+                raw, own = texts[row], slice(bounds[i], bounds[i + 1])
+                depth = np.bincount(start[own], minlength=len(raw) + 1) - np.bincount(end[own], minlength=len(raw) + 1)
+                gone = depth.cumsum()[: len(raw)] > 0
+                kept[row] = raw[~gone].tobytes()
+                spans[row] = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
             rest = batch.select([c for c in batch.schema.names if c not in (own_row, own_found)])
             yield rest.append_column("_kept", pa.array(kept, pa.binary())).append_column(
                 "_spans", pa.array(spans, pa.int64())

@@ -78,20 +78,38 @@ def training_labels(labels: DataFrame, label: str, rows: int) -> DataFrame:
     )
 
 
-def bitmap(hashes: DataFrame, column: str, bits: int = 1 << 25) -> np.ndarray:
-    """A filter of fixed size (``bits``) over a column of 64-bit hashes, as 64-bit words.
+#: Bits of a filter of fixed size.
+FILTER_BITS = 1 << 25
 
-    Whatever the number of rows, no more than ``bits`` bits reach the driver. A
-    set that fills it only lets more rows pass; an exact join must follow.
+
+def bitmap_word(hashed):
+    """The 64-bit word of the filter in which a hash has its bit."""
+    return F.shiftright(F.pmod(hashed, F.lit(FILTER_BITS)), 6)
+
+
+def bitmap_bit(hashed, mask):
+    """Whether the bit of a hash is set in its word."""
+    return F.getbit(mask, (F.pmod(hashed, F.lit(64))).cast("int")) == 1
+
+
+def bitmap_rows(hashes: DataFrame, column: str) -> DataFrame:
+    """A filter of fixed size over a column of 64-bit hashes, as ``(word, mask)``.
+
+    Whatever the number of rows, it has ``FILTER_BITS`` bits at most. A set that
+    fills it only lets more rows pass; an exact join must follow.
     """
-    slot = F.pmod(F.col(column), F.lit(bits))
-    words = (
-        hashes.select(slot.alias("slot"))
-        .groupBy(F.shiftright("slot", 6).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("mask"))
-        .toArrow()
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.col(column), F.lit(64)).cast("int"))
+    return (
+        hashes.select(bitmap_word(F.col(column)).alias("word"), bit.alias("bit"))
+        .groupBy("word")
+        .agg(F.bit_or("bit").alias("mask"))
     )
-    filled = np.zeros(bits // 64, np.uint64)
+
+
+def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
+    """The words of ``bitmap_rows``, for use in tasks."""
+    words = bitmap_rows(hashes, column).toArrow()
+    filled = np.zeros(FILTER_BITS // 64, np.uint64)
     filled[words["word"].to_numpy()] = words["mask"].to_numpy().view(np.uint64)
     return filled
 
