@@ -16,10 +16,10 @@ from footfall.llm import (
     toxicity_ftrl,
     unigram_pieces,
 )
+from footfall.llm.oracles import ORACLES  # noqa: F401
 from footfall.llm.tables import ship_package, table
 
 QUERIES = {}
-ORACLES = {}
 
 
 def query(name):
