@@ -139,10 +139,28 @@ def last_segment(segs: Column, keys: Column, key: Column | str) -> Column:
     return F.get(segs, (F.array_position(keys, key) - 1).cast("int"))
 
 
-def segment_value(segment: Column, key: str, empty: str = EMPTY_VALUE) -> Column:
-    """The value in a :func:`last_segment`."""
-    value = F.substr(segment, F.lit(len(key) + 2))
-    return F.when(value == "", F.lit(empty)).otherwise(value)
+def padded_query(query: Column) -> Column:
+    """The query string with a separator on both sides, for :func:`field_value`."""
+    return F.concat(F.lit("&"), query, F.lit("&"))
+
+
+def raw_value(padded: Column, key: str) -> Column:
+    """The text behind the last ``&K=``, up to the next separator; empty if there is none."""
+    return F.substring_index(F.substring_index(padded, f"&{key}=", -1), "&", 1)
+
+
+def field_value(padded: Column, raw: Column, key: str, empty: str = EMPTY_VALUE) -> Column:
+    """The value of one parameter, by the rules of :func:`segments`; NULL if absent.
+
+    It is the :func:`raw_value` unless that is empty or holds a further ``=``, or the key also
+    stands without one; those rows take a pattern. All of it is generated code,
+    where arrays of segments are interpreted.
+    """
+    pattern = rf"(?s)^.*&{key}(?:=([^&=]*)=*)?&"
+    plain = (raw != "") & ~F.contains(raw, F.lit("=")) & ~F.contains(padded, F.lit(f"&{key}&"))
+    absent = ~F.contains(padded, F.lit(f"&{key}"))
+    found = F.coalesce(F.nullif(F.regexp_extract(padded, pattern, 1), F.lit("")), F.lit(empty))
+    return F.when(plain, raw).when(absent, F.lit(None).cast("string")).when(padded.rlike(pattern), found)
 
 
 def parameter_map(segs: Column, keys: Column, empty: str = EMPTY_VALUE) -> Column:

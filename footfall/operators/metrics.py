@@ -29,10 +29,15 @@ def named_user(un_policy: str = "named") -> Column:
     """The login name that counts, else NULL.
 
     ``named`` leaves out absent and empty names. ``sentinel`` counts both
-    sentinels as people.
+    sentinels as people, ``blank`` absent and empty names together as one person, and ``one``
+    absent names as the person ``1``, empty ones as another.
     """
     if un_policy == "named":
         return F.nullif(F.col("un"), F.lit(EMPTY_VALUE))
+    if un_policy == "blank":
+        return F.coalesce(F.nullif(F.col("un"), F.lit(EMPTY_VALUE)), F.lit(""))
+    if un_policy == "one":
+        return F.coalesce("un", F.lit("1"))
     if un_policy == "sentinel":
         return F.coalesce(F.col("un"), F.lit(FIELD_SENTINELS["un"]))
     raise ValueError(f"unknown un_policy {un_policy!r}")

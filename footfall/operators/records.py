@@ -79,22 +79,22 @@ def with_fields(records: DataFrame, *names: str) -> DataFrame:
     sentinel in place of an absent one.
     """
     decoded = {"page_url": "pu", "title": "tt"}
-    sources = {decoded.get(name, name) for name in names}
-    found = evaluate_once(
-        with_segments(records),
-        *[
-            P.last_segment(F.col("segments"), F.col("keys"), P.FIELD_KEYS[source]).alias(f"_{source}")
-            for source in sorted(sources)
-        ],
-    )
+    sources = sorted({decoded.get(name, name) for name in names})
+    padded = evaluate_once(records, P.padded_query(F.col("query")).alias("_padded"))
+    text = F.col("_padded")
+    raw = evaluate_once(padded, *[P.raw_value(text, P.FIELD_KEYS[s]).alias(f"_raw_{s}") for s in sources])
+    values = [P.field_value(text, F.col(f"_raw_{s}"), P.FIELD_KEYS[s]).alias(f"_{s}") for s in sources]
+    found = evaluate_once(raw, *values)
 
     def column(name: str) -> Column:
-        source = decoded.get(name, name)
-        value = P.segment_value(F.col(f"_{source}"), P.FIELD_KEYS[source])
-        return P.url_decode(with_default(value, source)) if name in decoded else value
-
-    out = evaluate_once(found, *[column(name).alias(name) for name in names])
-    return out.drop(*[f"_{source}" for source in sources])
+        source = F.col(f"_{decoded.get(name, name)}")
+        return P.url_decode(with_default(source, decoded[name])) if name in decoded else source
+
+    if set(names) & set(decoded):
+        out = evaluate_once(found, *[column(name).alias(name) for name in names])
+    else:
+        out = found.withColumns({name: column(name) for name in names})
+    return out.drop("_padded", *[f"_{s}" for s in sources], *[f"_raw_{s}" for s in sources])
 
 
 def with_default(column: Column, name: str) -> Column:

@@ -153,6 +153,8 @@ def hwm_snapshot(
     order: Sequence[str] = ("arrival", "event_id"),
     un_policy: str = "named",
     across_days: bool = False,
+    marks: DataFrame | None = None,
+    mark_dims: Sequence[str] | None = None,
 ) -> DataFrame:
     """Snapshots in arrival order, one each time the minute passes the high-water mark.
 
@@ -161,7 +163,12 @@ def hwm_snapshot(
     With ``across_days`` one mark runs through all dates of a site; without,
     each date starts its own. The hits are read twice: to find the triggers,
     and to assign each hit to the next one.
+
+    With ``mark_dims`` several ``dims`` groups share a mark, which the hits ``marks`` move
+    (by default the same hits): each time it rises, every group seen so far gets a snapshot.
     """
+    if mark_dims is not None:
+        return _shared_snapshots(hits, dims, order, un_policy, hits if marks is None else marks, mark_dims)
     arrival = _arrival(hits, order)
     triggers = _triggers(hits, dims, arrival, across_days)
     arrays = _stored(
@@ -184,6 +191,37 @@ def hwm_snapshot(
     return snapshots.join(start, [*dims, "minute"], "left_anti")
 
 
+def _shared_snapshots(
+    hits: DataFrame,
+    dims: Sequence[str],
+    order: Sequence[str],
+    un_policy: str,
+    marks: DataFrame,
+    mark_dims: Sequence[str],
+) -> DataFrame:
+    """A snapshot of each ``dims`` group whenever the mark of its ``mark_dims`` group rises."""
+    triggers = _triggers(marks, mark_dims, _arrival(marks, order), False)
+    arrays = _stored(
+        triggers.groupBy(*mark_dims).agg(
+            F.sort_array(F.collect_list(F.struct("first", "minute"))).alias("triggers")
+        )
+    )
+    assigned = lookup_join(hits, arrays, mark_dims, "inner").withColumn(
+        "minute", _next_trigger(F.col("triggers"), _arrival(hits, order))["minute"]
+    )
+    changed = running_metrics(assigned.drop("triggers").filter(F.col("minute").isNotNull()), dims, un_policy)
+    groups = changed.groupBy(*dims).agg(F.min("minute").alias("_since"))
+    rises = arrays.select(*mark_dims, F.explode(F.slice("triggers", 2, F.size("triggers"))).alias("_rise"))
+    rises = rises.select(*mark_dims, F.col("_rise.minute").alias("minute"))
+    cells = groups.join(rises, list(mark_dims)).filter(F.col("minute") >= F.col("_since")).drop("_since")
+    # the first trigger is no snapshot, but its counts go on into the next ones
+    cells = cells.unionByName(groups.select(*dims, F.col("_since").alias("minute"))).distinct()
+    so_far = Window.partitionBy(*dims).orderBy("minute")
+    filled = cells.join(changed, [*dims, "minute"], "left")
+    filled = filled.select(*dims, "minute", *[F.last(m, True).over(so_far).alias(m) for m in METRICS])
+    return filled.join(rises, [*mark_dims, "minute"], "left_semi").select(*dims, "minute", *METRICS)
+
+
 def emitted_minutes(snapshots: DataFrame) -> DataFrame:
     """How many snapshots each date has had."""
     return snapshots.groupBy("date").agg(F.count("*").alias("emitted"))

@@ -345,6 +345,14 @@ _add(
     "un_by_day_sentinel",
     "select date, ws, count(distinct coalesce(un, 'UN-NULL')) as un from g group by date, ws",
 )
+_add(
+    "un_by_day_blank",
+    "select date, ws, count(distinct coalesce(named, '')) as un from g group by date, ws",
+)
+_add(
+    "un_by_day_one",
+    "select date, ws, count(distinct coalesce(un, '1')) as un from g group by date, ws",
+)
 _add("pvuv_by_day", "select * from daily")
 _add(
     "pvuv_by_day_raw",
@@ -472,6 +480,27 @@ _add(
         + " from snapshots"
     ),
 )
+def _shared(group: str, source: str, marks: str) -> str:
+    return f"""
+, src as (select * from {source}),
+ordered as (
+  select date, minute, arrival, event_id, max(minute) over (
+    partition by date order by arrival, event_id rows between unbounded preceding and 1 preceding) as mark
+  from {marks}
+),
+emits as (select * from ordered where mark is not null and minute > mark)
+select e.date, s.{group}, e.minute, count(*) as pv, count(distinct visitor) as uv,
+  count(distinct case when rc = '0' then visitor end) as rc, count(distinct named) as un
+from emits e join src s on s.date = e.date and (s.arrival, s.event_id) <= (e.arrival, e.event_id)
+group by e.date, s.{group}, e.minute
+"""
+
+
+_add(
+    "hwm_snapshot_site_list",
+    _shared("ws", f"(select * from visible where ws in ({_SITES}) and cle is null)", "src"),
+)
+_add("hwm_snapshot_activity", _shared("code", "(select * from act join campaigns using (title))", "g"))
 _add("hwm_snapshot_across_days", _hwm("select * from snapshots", across_days=True))
 _add(
     "emitted_minutes",

@@ -440,6 +440,16 @@ def un_by_day_sentinel(spark, sf_dir):
     return M.named_users(_page_hits(spark, sf_dir, "un"), DIMS, "sentinel")
 
 
+@query
+def un_by_day_blank(spark, sf_dir):
+    return M.named_users(_page_hits(spark, sf_dir, "un"), DIMS, "blank")
+
+
+@query
+def un_by_day_one(spark, sf_dir):
+    return M.named_users(_page_hits(spark, sf_dir, "un"), DIMS, "one")
+
+
 @query
 def pvuv_by_day(spark, sf_dir):
     return M.four_metrics(_metric_hits(spark, sf_dir), DIMS)
@@ -574,6 +584,21 @@ def hwm_snapshot(spark, sf_dir):
     return W.hwm_snapshot(_metric_hits(spark, sf_dir), DIMS)
 
 
+@query
+def hwm_snapshot_site_list(spark, sf_dir):
+    """A rise on any listed site is a snapshot of all of them."""
+    hits = X.site_list_hits(fixtures.hits(spark, sf_dir), CONFIG, "cuc", "rc", "un")
+    return W.hwm_snapshot(hits, DIMS, mark_dims=["date"])
+
+
+@query
+def hwm_snapshot_activity(spark, sf_dir):
+    """A rise of the main site is a snapshot of all campaigns."""
+    hits = campaign_ops.campaign_lookup(_activity_hits(spark, sf_dir), fixtures.campaigns(spark))
+    marks = _page_hits(spark, sf_dir)
+    return W.hwm_snapshot(hits, ["date", "code"], marks=marks, mark_dims=["date"])
+
+
 @query
 def hwm_snapshot_across_days(spark, sf_dir):
     return W.hwm_snapshot(_metric_hits(spark, sf_dir), DIMS, across_days=True)
