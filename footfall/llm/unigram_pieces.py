@@ -18,6 +18,7 @@ results; null ids are carried through; other columns are left out of the report
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 from dataclasses import dataclass
 
@@ -33,9 +34,9 @@ MARK = "▁"
 #: A byte costs more than any piece, so bytes only stand where no piece does.
 BYTE_SCORE = -1e6
 #: Parts of a text remembered by one worker.
-CACHED_PARTS = 1 << 18
-#: Characters of parts encoded at a time.
-BATCH_CHARACTERS = 1 << 20
+CACHED_PARTS = 1 << 19
+#: Characters of texts, and of parts, encoded at a time.
+BATCH_CHARACTERS = 1 << 21
 #: Longer parts are encoded one by one: few have their length, and arrays need many to pay.
 LONG_PART = 64
 _PARTS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -103,30 +104,57 @@ class Pieces:
     trie: DoubleArrayTrie
     longest: int
 
-    def encode_parts(self, parts: list[str]) -> list[list[int]]:
-        """The ids of each part; parts of like lengths are worked on together."""
-        result = [self._viterbi_long(part) if len(part) > LONG_PART else [] for part in parts]
-        order = sorted((i for i in range(len(parts)) if len(parts[i]) <= LONG_PART), key=lambda i: len(parts[i]))
+    def encode_parts(self, parts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The parts in another order, their ids one after another, and how many each has.
+
+        Parts of like lengths are worked on together.
+        """
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        order = np.argsort(sizes, kind="stable")
+        ordered = sizes[order]
+        usual = int((sizes <= LONG_PART).sum())
+        done: list[str] = []
+        ids, counts = [], []
+        alone = [parts[i] for i in order[usual:].tolist()]
         at = 0
-        while at < len(order):
-            group = [order[at]]
-            at += 1
-            while at < len(order):
-                longest = len(parts[order[at]])
-                if longest * (len(group) + 1) > BATCH_CHARACTERS or longest > 2 * len(parts[group[0]]) + 4:
-                    break
-                group.append(order[at])
-                at += 1
-            for i, ids in zip(group, self._viterbi([parts[i] for i in group])):
-                result[i] = ids
-        return result
-
-    def _viterbi(self, parts: list[str]) -> list[list[int]]:
-        count, width = len(parts), max(map(len, parts))
-        codes = np.full((width + self.longest, count), -1, np.int32)
-        for j, part in enumerate(parts):
-            codes[: len(part), j] = [self.symbols.get(c, -1) for c in part]
-        sizes = np.array([len(part) for part in parts])
+        while at < usual:
+            longest = min(LONG_PART, ordered[at] + 3)
+            end = int(np.searchsorted(ordered, longest, "right"))
+            end = min(end, at + max(1, BATCH_CHARACTERS // int(longest)))
+            group = [parts[i] for i in order[at:end].tolist()]
+            found, used, plain = self._viterbi(group)
+            ids.append(found)
+            counts.append(used)
+            done += [part for part, ok in zip(group, plain) if ok]
+            alone += [part for part, ok in zip(group, plain) if not ok]
+            at = end
+        single = [self._viterbi_alone(part) for part in alone]
+        return (
+            done + alone,
+            np.concatenate([NO_IDS, *ids, *single]).astype(np.int32),
+            np.concatenate([np.empty(0, np.int64), *counts, [len(x) for x in single]]).astype(np.int64),
+        )
+
+    def _codes(self, parts: list[str], sizes: np.ndarray, height: int) -> np.ndarray:
+        """The symbols of the characters, a column for each part, -1 behind its end."""
+        points = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        column = np.repeat(np.arange(len(parts)), sizes)
+        row = np.arange(len(points)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        codes = np.full((height, len(parts)), -1, np.int32)
+        codes[row, column] = self.symbol_table[points]
+        return codes
+
+    @functools.cached_property
+    def symbol_table(self) -> np.ndarray:
+        table = np.full(0x110000, -1, np.int32)
+        for character, symbol in self.symbols.items():
+            table[ord(character)] = symbol
+        return table
+
+    def _viterbi(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        count, width = len(parts), int(sizes.max())
+        codes = self._codes(parts, sizes, width + self.longest)
         best = np.full((width + 1, count), -np.inf)
         best[0] = 0
         came = np.zeros((width + 1, count), np.int32)
@@ -155,9 +183,23 @@ class Pieces:
                 best[start + length, rows] = reach[better]
                 came[start + length, rows] = start
                 piece[start + length, rows] = found[better]
-        return [self._trace(part, came[:, j], piece[:, j]) for j, part in enumerate(parts)]
-
-    def _viterbi_long(self, part: str) -> list[int]:
+        return self._traced(sizes, came, piece)
+
+    def _traced(self, sizes, came, piece) -> tuple[np.ndarray, np.ndarray, list[bool]]:
+        """The best ways, walked from all ends at once; and which parts need no bytes, for only these count."""
+        everyone, end, steps = np.arange(len(sizes)), sizes.copy(), []
+        in_bytes = np.zeros(len(sizes), bool)
+        while end.any():
+            active = end > 0
+            ids = np.where(active, piece[end, everyone], NOTHING)
+            in_bytes |= active & (ids == -1)
+            steps.append(ids)
+            end = np.where(active, came[end, everyone], 0)
+        table = np.stack(steps[::-1], axis=1)[~in_bytes]
+        used = table != NOTHING
+        return table[used], used.sum(axis=1), (~in_bytes).tolist()
+
+    def _viterbi_alone(self, part: str) -> np.ndarray:
         base, check, value, scores = self.plain
         codes = [self.symbols.get(c, -1) for c in part]
         best = [-np.inf] * (len(part) + 1)
@@ -183,7 +225,7 @@ class Pieces:
         """The trie's arrays and the scores as lists, for one part at a time."""
         return self.trie.base.tolist(), self.trie.check.tolist(), self.trie.value.tolist(), self.scores.tolist()
 
-    def _trace(self, part: str, came: np.ndarray, piece: np.ndarray) -> list[int]:
+    def _trace(self, part: str, came: np.ndarray, piece: np.ndarray) -> np.ndarray:
         ids: list[int] = []
         end = len(part)
         while end:
@@ -193,27 +235,45 @@ class Pieces:
             else:
                 ids += [int(self.byte_ids[b]) for b in reversed(_plain(part[start:end]))]
             end = start
-        return ids[::-1]
-
-    def decode(self, ids: list[int]) -> str:
-        out, raw = [], bytearray()
-        for i in ids:
-            byte = self.byte_of.get(i)
-            if byte is not None:
-                raw.append(byte)
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "surrogatepass"))
-                raw = bytearray()
-            out.append(self.names[i].replace(MARK, " "))
-        out.append(raw.decode("utf-8", "surrogatepass"))
-        return "".join(out)[1:]
+        return np.array(ids[::-1], np.int32)
+
+    @functools.cached_property
+    def spelled(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes that pieces stand for, one after another, with starts and lengths by id."""
+        raw = [to_bytes(name.replace(MARK, " ")) for name in self.names]
+        for byte, i in enumerate(self.byte_ids):
+            raw[i] = bytes([byte])
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+        return np.frombuffer(b"".join(raw), np.uint8), np.cumsum(lengths) - lengths, lengths
+
+    def decode_all(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """The texts whose ids lie between successive ``offsets``."""
+        spelled, starts, lengths = self.spelled
+        size = lengths[ids]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        out = spelled[np.repeat(starts[ids] - ends[:-1], size) + np.arange(ends[-1])].tobytes()
+        cuts = ends[offsets].tolist()
+        # the marker in front of each text is no part of it
+        return [out[a + 1 : b].decode("utf-8", "surrogatepass") for a, b in zip(cuts, cuts[1:])]
+
+    def decode(self, ids) -> str:
+        ids = np.asarray(ids, np.int64)
+        return self.decode_all(ids, np.array([0, len(ids)]))[0]
 
     @functools.cached_property
     def byte_of(self) -> dict[int, int]:
         return {int(i): byte for byte, i in enumerate(self.byte_ids)}
 
+    @functools.cached_property
+    def is_byte(self) -> np.ndarray:
+        found = np.zeros(len(self.names), bool)
+        found[self.byte_ids] = True
+        return found
 
+
+NO_IDS = np.empty(0, np.int32)
+#: Where a shorter part has no further piece.
+NOTHING = -2
 #: Stands for a marker of the text itself while the text is cut; it is no character of a text.
 _OWN_MARK = "\udfff"
 
@@ -249,11 +309,16 @@ def load(path: str) -> Pieces:
 
 
 class Encoder:
-    """Encodes texts with a bounded memory of their parts."""
+    """Encodes texts with a bounded memory of their parts, whose ids stand in one array."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.known: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids = NO_IDS
+        self.ends = np.zeros(1, np.int64)
 
     @staticmethod
     def parts(text: str) -> list[str]:
@@ -262,14 +327,28 @@ class Encoder:
         marked = MARK + text.replace(MARK, _OWN_MARK).replace(" ", MARK)
         return _PARTS.findall(marked)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and the offsets between texts."""
         split = [self.parts(text) for text in texts]
-        if len(self.known) > CACHED_PARTS:
-            self.known = {}
-        new = list(set().union(*split).difference(self.known))
-        self.known.update(zip(new, self.pieces.encode_parts(new)))
-        known = self.known
-        return [[i for part in parts for i in known[part]] for parts in split]
+        if len(self.number) > CACHED_PARTS:
+            self._forget()
+        new = list(set().union(*split).difference(self.number))
+        if new:
+            ordered, found, sizes = self.pieces.encode_parts(new)
+            self.number.update(zip(ordered, range(len(self.number), len(self.number) + len(new))))
+            self.ids = np.concatenate([self.ids, found])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        counts = [len(parts) for parts in split]
+        every = itertools.chain.from_iterable(split)
+        used = np.fromiter(map(self.number.__getitem__, every), np.int64, sum(counts))
+        starts, sizes = self.ends[used], self.ends[used + 1] - self.ends[used]
+        to = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.ids[np.repeat(starts - to[:-1], sizes) + np.arange(to[-1])]
+        return ids, to[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        ids, offsets = self.encode_all(texts)
+        return [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
 
 
 @functools.lru_cache(maxsize=2)
@@ -277,6 +356,18 @@ def encoder(path: str) -> Encoder:
     return Encoder(load(path))
 
 
+def _of_bounded_size(texts: list[str]):
+    """Ranges of texts of about ``BATCH_CHARACTERS`` together."""
+    start, size = 0, 0
+    for at, text in enumerate(texts):
+        if size and size + len(text) > BATCH_CHARACTERS:
+            yield start, at
+            start, size = at, 0
+        size += len(text)
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def with_pieces(docs: DataFrame, model: str | None = None) -> DataFrame:
     """``docs`` with ``piece_ids``, ``n_byte_pieces`` (byte pieces among them) and ``decoded``.
 
@@ -288,17 +379,18 @@ def with_pieces(docs: DataFrame, model: str | None = None) -> DataFrame:
 
     def encode(batches):
         worker = encoder(path)
-        is_byte = worker.pieces.byte_of
         for batch in batches:
-            for start in range(0, len(batch), 256):
-                part = batch.slice(start, 256)
-                ids = worker.encode([text or "" for text in part.column("text").to_pylist()])
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            for start, end in _of_bounded_size(texts):
+                ids, offsets = worker.encode_all(texts[start:end])
+                in_bytes = np.concatenate([[0], np.cumsum(worker.pieces.is_byte[ids])])
+                part = batch.slice(start, end - start)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(part.column(f.name) for f in kept),
-                        pa.array(ids, pa.list_(pa.int32())),
-                        pa.array([sum(i in is_byte for i in found) for found in ids], pa.int64()),
-                        pa.array([worker.pieces.decode(found) for found in ids], pa.string()),
+                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32())),
+                        pa.array(np.diff(in_bytes[offsets]), pa.int64()),
+                        pa.array(worker.pieces.decode_all(ids, offsets), pa.string()),
                     ],
                     names=[*(f.name for f in kept), *added],
                 )

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 from conftest import LONG, TEXTS, documents
@@ -122,7 +123,7 @@ def test_pieces_are_the_best_and_decode(pieces):
         assert pieces.decode(ids) == text
         if text:
             marked = U.MARK + text.replace(U.MARK, U._OWN_MARK).replace(" ", U.MARK)
-            unknown = sum(c not in pieces.symbols or pieces.trie.value[pieces.trie.step([0], [pieces.symbols[c]])] < 0 for c in marked)
+            unknown = sum(c not in pieces.symbols or pieces.trie.value[pieces.trie.step(np.array([0]), np.array([pieces.symbols[c]]))] < 0 for c in marked)
             score = sum(pieces.scores[i] for i in ids if i not in pieces.byte_of) + unknown * U.BYTE_SCORE
             assert score == pytest.approx(best_score(pieces, text)), text
 
