@@ -36,6 +36,8 @@ COLUMNS = 16
 #: Width of the test: a true neighbour is lost with a chance that falls with its square.
 CERTAINTY = 2.1
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
+#: Queries whose distances stand in one matrix.
+QUERIES_AT_ONCE = 128
 
 
 @dataclass
@@ -119,47 +121,61 @@ def listed(vectors: DataFrame, index: Index, probes: int, queries: bool) -> Data
     )
 
 
-def adaptive_scan(query: np.ndarray, candidates: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
-    """Places of the candidates that may be among the ``k`` nearest.
+def adaptive_scan(queries: np.ndarray, candidates: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, candidate), by place, that may be among the ``k`` nearest of the query.
 
-    ``first``: squared distances over the first ``COLUMNS`` columns. The bound is the
-    ``k``-th distance among the candidates nearest so far, in all columns.
+    Distances grow block by block of columns. A candidate that every query has abandoned
+    leaves the matrix, so later blocks are multiplied for fewer of them. A query's bound is the ``k``-th
+    distance, in all columns, among the candidates nearest in the first block.
     """
     width = candidates.shape[1]
-    if len(candidates) <= k:
-        return np.arange(len(candidates))
-    likely = np.argpartition(first, k - 1)[:k]
-    bound = ((candidates[likely] - query) ** 2).sum(axis=1).max()
-    alive, partial = np.arange(len(candidates)), first
-    for done in range(COLUMNS, width + COLUMNS, COLUMNS):
-        seen = min(done, width)
+    kept = np.arange(len(candidates))
+    near = (candidates**2).sum(axis=1).max() + (queries**2).sum(axis=1).max()
+    partial = np.zeros((len(queries), len(kept)), np.float32)
+    alive = np.ones(partial.shape, bool)
+    bound = np.full((len(queries), 1), np.inf, np.float32)
+    for start in range(0, width, COLUMNS):
+        seen = min(start + COLUMNS, width)
+        own, others = queries[:, start:seen], candidates[kept, start:seen]
+        partial += (own**2).sum(axis=1)[:, None] + (others**2).sum(axis=1) - 2 * own @ others.T
+        if start == 0 and len(kept) > k:
+            likely = np.argpartition(partial, k - 1, axis=1)[:, :k]
+            whole = ((candidates[likely] - queries[:, None, :]) ** 2).sum(axis=2)
+            bound = whole.max(axis=1)[:, None]
         slack = 1.0 if seen == width else (1 + CERTAINTY / np.sqrt(seen)) ** 2
-        keep = partial * (width / seen) <= bound * slack * (1 + 1e-5) + 1e-12
-        alive, partial = alive[keep], partial[keep]
-        if seen == width:
-            break
-        more = slice(seen, min(seen + COLUMNS, width))
-        partial = partial + ((candidates[alive, more] - query[more]) ** 2).sum(axis=1)
-    return alive
+        alive &= partial * (width / seen) <= bound * slack + 1e-5 * near
+        columns = alive.any(axis=0)
+        if columns.mean() < 0.9:
+            kept, partial, alive = kept[columns], partial[:, columns], alive[:, columns]
+    if len(kept) > k:
+        found = np.where(alive, partial, np.inf)
+        alive &= partial <= np.partition(found, k - 1, axis=1)[:, k - 1 : k] + 1e-5 * near
+    query, column = np.nonzero(alive)
+    return query, kept[column]
 
 
 def _scan_block(index: Index, k: int):
     def scan(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(queries) and len(rows):
-            ids = rows.vec_id.to_numpy()
-            original = np.stack(rows.embedding.to_numpy())
-            placed = index.placed(original)
-            asked = np.stack(queries.embedding.to_numpy())
-            turned = index.placed(asked, queries=True)
-            near, start = placed[:, :COLUMNS], turned[:, :COLUMNS]
-            first = (near**2).sum(axis=1) - 2 * start @ near.T + (start**2).sum(axis=1)[:, None]
-            for i, query_id in enumerate(queries.vec_id.to_numpy()):
-                at = adaptive_scan(turned[i], placed, np.maximum(first[i], 0), k + 1)
-                at = at[ids[at] != query_id]
-                scores = (original[at] * asked[i]).sum(axis=1)
-                best = np.lexsort((ids[at], -scores))[:k]
-                found.append((np.full(len(best), query_id), ids[at][best], scores[best]))
+            ids, query_ids = rows.vec_id.to_numpy(), queries.vec_id.to_numpy()
+            original, asked = np.stack(rows.embedding.to_numpy()), np.stack(queries.embedding.to_numpy())
+            placed, turned = index.placed(original), index.placed(asked, queries=True)
+            for start in range(0, len(asked), QUERIES_AT_ONCE):
+                # one more than k, as the query's own vector is among them
+                query, row = adaptive_scan(turned[start : start + QUERIES_AT_ONCE], placed, k + 1)
+                query = query + start
+                other = ids[row] != query_ids[query]
+                query, row = query[other], row[other]
+                scores = np.concatenate(
+                    [np.empty(0)]
+                    + [(original[row[i : i + 4096]] * asked[query[i : i + 4096]]).sum(axis=1) for i in range(0, len(row), 4096)]
+                )
+                order = np.lexsort((ids[row], -scores, query))
+                query, row, scores = query[order], row[order], scores[order]
+                first = np.searchsorted(query, query, "left")
+                best = np.arange(len(query)) - first < k
+                found.append((query_ids[query[best]], ids[row[best]], scores[best]))
         columns = [np.concatenate(c) for c in zip(*found)] if found else [[], [], []]
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns))).astype(
             {"query_id": "int64", "vec_id": "int64", "score": "float64"}
