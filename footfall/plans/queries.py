@@ -190,7 +190,9 @@ def upsert_activity_metrics(spark, sf_dir):
     stale = [F.lit(0).cast("bigint").alias(m) for m in M.METRICS]
     known = metrics.filter(F.col("code") == "tt1").select("date", "code", *stale)
     other = pvuv_by_day(spark, sf_dir).select("date", F.lit("tt0").alias("code"), *M.METRICS)
-    return sinks.upsert(known.unionByName(other), metrics, sinks.ACTIVITY_KEYS)
+    path = f"{shared_folder(spark, 'activity')}/table"
+    sinks.upsert_table(spark, path, known.unionByName(other), sinks.ACTIVITY_KEYS, 0)
+    return sinks.upsert_table(spark, path, metrics, sinks.ACTIVITY_KEYS, 1)
 
 
 @query
@@ -202,7 +204,9 @@ def goods_state_upsert(spark, sf_dir):
     enriched = goods_ops.enrich_goods_state(latest, _goods_dimension(spark, sf_dir))
     current = enriched.withColumn("state", F.lit(9))
     changes = enriched.filter(F.col("port") == "wap")
-    return sinks.upsert(current, changes, goods_ops.STATE_KEYS)
+    path = f"{shared_folder(spark, 'goods')}/table"
+    sinks.upsert_table(spark, path, current, goods_ops.STATE_KEYS, 0)
+    return sinks.upsert_table(spark, path, changes, goods_ops.STATE_KEYS, 1)
 
 
 @query

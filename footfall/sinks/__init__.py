@@ -105,6 +105,14 @@ def upsert(current: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataF
     return latest_by_key(versioned, keys, "_version")
 
 
+def upsert_table(
+    spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], batch_id: int
+) -> DataFrame:
+    """Write ``changes`` to the keyed table at ``path`` and read it again; a replay changes nothing."""
+    write_batch(changes, path, batch_id)
+    return read_keyed(spark, path, keys)
+
+
 def read_keyed(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """Current state of a table whose changes were written batch by batch."""
     return latest_by_key(read_batches(spark, path), keys, "batch_id")
