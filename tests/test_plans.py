@@ -25,9 +25,15 @@ BATCH = [n for n in sorted(QUERIES) if not n.startswith(("stream_", "sink_", "sc
 
 
 @pytest.mark.parametrize("name", BATCH)
-def test_no_cross_joins_and_no_python(spark, name):
+def test_no_cross_joins_no_python_and_no_spreading_by_size(spark, name):
     text = plan(QUERIES[name](spark, SF))
-    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+    for word in (
+        "CartesianProduct",
+        "BroadcastNestedLoopJoin",
+        "BatchEvalPython",
+        "ArrowEvalPython",
+        "RoundRobinPartitioning",
+    ):
         assert word not in text
 
 
@@ -39,11 +45,6 @@ def test_metrics_aggregate_by_hash_in_one_scan(spark, name):
     assert text.count("Scan parquet") <= 2  # the tree and the node's details
 
 
-@pytest.mark.parametrize("name", BATCH)
-def test_hits_are_spread_by_files_only(spark, name):
-    assert "RoundRobinPartitioning" not in plan(QUERIES[name](spark, SF))
-
-
 def test_triggers_aggregate_by_hash(spark):
     hits = X.main_site_hits(fixtures.hits(spark, SF), CONFIG, "cuc", "rc", "un")
     assert "SortAggregate" not in plan(W._triggers(hits, ["date", "ws"], W._arrival(hits, ("arrival", "event_id")), False))
