@@ -86,10 +86,23 @@ def _click_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.click_counts(T.click_keys(fixtures.clicks(spark, sf_dir)))
 
 
+#: Folders of staged lines, by application and input.
+_STAGED: dict[tuple[str, str], str] = {}
+
+
+def stage_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The hits as files in order of arrival, written once for all streams of an application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STAGED:
+        folder = f"{shared_folder(spark, 'stream')}/lines"
+        stage_in_order(fixtures.hits(spark, sf_dir), folder, "arrival")
+        _STAGED[key] = folder
+    return _STAGED[key]
+
+
 def _staged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hits as a stream: files in order of arrival, several micro-batches."""
-    folder = f"{shared_folder(spark, 'stream')}/lines"
-    stage_in_order(fixtures.hits(spark, sf_dir), folder, "arrival")
+    """The hits as a stream of several micro-batches."""
+    folder = stage_lines(spark, sf_dir)
     files = files_per_batch(spark, folder)
     return sources.stream_files(spark, folder, "event_id bigint, arrival bigint, line string", files)
 
