@@ -4,7 +4,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
-from conftest import BASE, LONG, TEXTS, documents
+from corpus_rows import BASE, LONG, TEXTS, documents
 
 from footfall.llm import minhash_dedup as M
 from footfall.llm import substring_dedup as S

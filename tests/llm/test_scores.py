@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import TEXTS
+from corpus_rows import TEXTS
 
 from footfall.llm import quality_gbt as Q
 from footfall.llm import toxicity_ftrl as X

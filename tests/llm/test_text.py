@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import LONG, TEXTS, documents
+from corpus_rows import LONG, TEXTS, documents
 
 from footfall.llm import chat_windows as C
 from footfall.llm import decontamination as D
