@@ -23,14 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.tables import bitmap, in_bitmap, stored
-from footfall.llm.words import WordHasher, ascii_words, gram_hashes
+from footfall.llm.tables import bitmap, in_bitmap, slices, stored
+from footfall.llm.words import HASHER, ascii_words, gram_hashes
 
 WINDOW = 13
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
 #: Removed texts are broadcast up to so many, at 16 bytes each; beyond, they are shuffled.
 BROADCAST_ROWS = 200_000
-_HASHER = WordHasher()
 
 
 def masks_for(short_lengths: list[int]) -> list[tuple[int, ...]]:
@@ -40,7 +39,7 @@ def masks_for(short_lengths: list[int]) -> list[tuple[int, ...]]:
 
 def _seeds_of(words: list[bytes], masks: list[tuple[int, ...]]):
     """``(place, mask, hashes, first place)``: where seeds start, and the word hashes around."""
-    hashes = _HASHER.array(words)
+    hashes = HASHER.array(words)
     for number, mask in enumerate(masks):
         yield number, mask, hashes, gram_hashes(hashes, mask, seed=len(mask) * 1000 + mask[-1])
 
@@ -81,7 +80,7 @@ def document_hits(docs: DataFrame, wanted: np.ndarray, masks: list[tuple[int, ..
     """``seed, doc_id, text_hash, doc_before, doc_words`` for places whose hash passes the filter."""
 
     def hits(batches):
-        for batch in batches:
+        for batch in slices(batches):
             columns = {name: [] for name in ("seed", "row", "before", "words")}
             for row, text in enumerate(batch.column("text").to_pylist()):
                 for _, mask, hashes, grams in _seeds_of(ascii_words(text), masks):
@@ -133,7 +132,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) ->
     hits = document_hits(docs, bitmap(seeds, "seed"), masks)
 
     def checked(batches):
-        for batch in batches:
+        for batch in slices(batches):
             best, windows = [], []
             for words, before, item, item_before, n in zip(
                 *(batch.column(c).to_pylist() for c in ("doc_words", "doc_before", "item_words", "item_before", "n_words"))

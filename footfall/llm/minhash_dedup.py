@@ -31,15 +31,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.tables import bitmap, connected, in_bitmap, stored
-from footfall.llm.words import WordHasher, ascii_words, mix, shingle_set
+from footfall.llm.tables import bitmap, connected, in_bitmap, slices, stored
+from footfall.llm.words import HASHER, ascii_words, mix, shingle_set
 
 UNIVERSE = 1 << 20
 #: At a similarity of 0.8, 42 bands of 6 coordinates miss 3 pairs in a million.
 BANDS, ROWS = 42, 6
 SMALL = 32
 BLOCK_SHINGLES = 1 << 18
-_HASHER = WordHasher()
 
 
 @functools.lru_cache(maxsize=2)
@@ -72,7 +71,7 @@ def band_keys(coordinates: np.ndarray) -> np.ndarray:
 
 
 def document_shingles(text: str | None, width: int) -> np.ndarray:
-    return shingle_set(_HASHER.array(ascii_words(text)), width)
+    return shingle_set(HASHER.array(ascii_words(text)), width)
 
 
 def set_digest(shingles: np.ndarray) -> tuple[int, int]:
@@ -85,7 +84,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id, n_shingles, high, low, bands`` for each row of ``docs``; no bands for an empty set."""
 
     def measured(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sizes, highs, lows, bands = [], [], [], []
             for text in batch.column("text").to_pylist():
                 shingles = document_shingles(text, width)
@@ -119,7 +118,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     wanted = bitmap(nodes.select(F.xxhash64("node").alias("h")), "h")
 
     def sets(batches):
-        for batch in batches:
+        for batch in slices(batches):
             keep = in_bitmap(wanted, batch.column("h").to_numpy())
             batch = batch.filter(pa.array(keep))
             found = [document_shingles(text, width).tobytes() for text in batch.column("text").to_pylist()]
@@ -154,7 +153,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     )
 
     def check(batches):
-        for batch in batches:
+        for batch in slices(batches):
             keep = [
                 similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
                 for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist())

@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.tables import held_out, training_labels
-from footfall.llm.words import WordHasher, to_bytes
+from footfall.llm.tables import free_name, held_out, slices, training_labels
+from footfall.llm.words import HASHER, to_bytes
 
 TRAINING_ROWS = 20_000
 BINS = 64
@@ -39,7 +39,6 @@ STATISTICS = (
     "short_words", "pipes", "brackets",
 )
 
-_HASHER = WordHasher()
 
 
 def _class_table() -> np.ndarray:
@@ -70,7 +69,7 @@ def statistics(text: str | None) -> np.ndarray:
     present = counts[counts > 0] / len(raw)
     words = raw.split()
     lines = raw.split(b"\n")
-    hashes = _HASHER.array(words)
+    hashes = HASHER.array(words)
     values[0] = np.log1p(len(raw))
     values[1] = np.log1p(len(words))
     values[4:12] = shares
@@ -195,7 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Forest
     sample = docs.selectExpr("cast(doc_id as bigint) doc_id", "text").join(chosen, "doc_id")
 
     def measured(batches):
-        for batch in batches:
+        for batch in slices(batches):
             values = [statistics(text).tolist() for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"), pa.array(values, pa.list_(pa.float32()))],
@@ -218,7 +217,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Forest
 
     parts = (
         sample.mapInArrow(measured, "doc_id bigint, label int, values array<float>")
-        .coalesce(1)
+        .repartition(1)
         .mapInArrow(trained, "flat array<double>, shape array<bigint>, part bigint")
         .collect()
     )
@@ -234,7 +233,7 @@ def with_score(df: DataFrame, forest: Forest, name: str = "score") -> DataFrame:
     """``df`` with one more column, the score of its ``text``; other columns stay as they are."""
 
     def scored(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             values = np.array([statistics(text) for text in texts]).reshape(-1, len(STATISTICS))
             yield batch.append_column(name, pa.array(forest.scores(values), pa.float64()))
@@ -257,8 +256,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose score reaches ``threshold``, with their own columns."""
-    name = "_quality"
-    while name in docs.columns:
-        name += "_"
+    name = free_name(docs, "_quality")
     scored = with_score(docs, fit(docs, labels), name)
     return scored.where(F.col(name) >= threshold).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.tables import bitmap, bitmap_bit, bitmap_rows, bitmap_word, free_name, in_bitmap, stored
+from footfall.llm.tables import bitmap, bitmap_bit, bitmap_rows, bitmap_word, free_name, in_bitmap, slices, stored
 from footfall.llm.words import mix, to_bytes
 
 MIN_BYTES = 200
@@ -121,7 +121,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 def _anchor_counts(docs: DataFrame, min_bytes: int) -> DataFrame:
     def counted(batches):
-        for batch in batches:
+        for batch in slices(batches):
             anchors, counts = [], []
             for text in batch.column("text").to_pylist():
                 anchor, *_ = pieces(to_bytes(text), min_bytes)
@@ -143,7 +143,7 @@ def _live_pieces(docs: DataFrame, live: np.ndarray, min_bytes: int) -> DataFrame
     """``row, anchor, piece, run, starts`` for distinct pieces of a document whose anchor may occur again."""
 
     def found(batches):
-        for batch in batches:
+        for batch in slices(batches):
             columns = [[] for _ in range(5)]
             for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist()):
                 anchor, piece, start, run = pieces(to_bytes(text), min_bytes)
@@ -184,7 +184,7 @@ def _contents(docs: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFrame:
     places = bitmap(wanted.select(place.alias("place")), "place")
 
     def candidates(batches):
-        for batch in batches:
+        for batch in slices(batches):
             batch = batch.filter(pa.array(in_bitmap(rows, batch.column("row").to_numpy())))
             columns = [[], [], [], []]
             for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist()):
@@ -393,7 +393,7 @@ def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, keep_first: boo
     )
 
     def cut(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = [np.frombuffer(to_bytes(text), np.uint8) for text in batch.column("text").to_pylist()]
             column = batch.column(own_found)
             at = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))

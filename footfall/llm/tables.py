@@ -49,6 +49,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def slices(batches, rows: int = 512):
+    """Arrow batches in slices of so many rows, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.slice(start, rows)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores behind it where a column of ``df`` has it already."""
     taken = {column.lower() for column in df.columns}

@@ -21,6 +21,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from footfall.llm.tables import slices
 from footfall.llm.words import to_bytes
 
 BATCH_BYTES = 1 << 20
@@ -107,7 +108,7 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = 102
 
     def count(batches):
         counter = part_counter(path)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [text or "" for text in batch.column("text").to_pylist()]
             tokens = counter.counts(texts)
             yield pa.RecordBatch.from_arrays(

@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.tables import held_out, training_labels
-from footfall.llm.words import WordHasher, gram_hashes
+from footfall.llm.tables import held_out, slices, training_labels
+from footfall.llm.words import HASHER, gram_hashes
 
 TRAINING_ROWS = 16_000
 #: Buckets in fewer documents of the sample are not learned.
@@ -36,13 +36,12 @@ POSITIVE_WEIGHT = 4.0
 EPOCHS = 5
 
 _WORDS = re.compile(rb"[a-z0-9\x80-\xff]+")
-_HASHER = WordHasher()
 
 
 def features(text: str | None) -> np.ndarray:
     """Sorted distinct buckets of the grams of a text, in lower case, without marks."""
     words = _WORDS.findall((text or "").lower().encode("utf-8", "surrogatepass"))
-    hashes = _HASHER.array(words)
+    hashes = HASHER.array(words)
     grams = [gram_hashes(hashes, offsets, seed) for seed, offsets in enumerate(GRAMS, 1)]
     return np.unique((np.concatenate(grams) % np.uint64(BUCKETS)).astype(np.int64))
 
@@ -112,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Weight
     sample = docs.selectExpr("cast(doc_id as bigint) doc_id", "text").join(chosen, "doc_id")
 
     def hashed(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [features(text).astype(np.int32).tobytes() for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"), pa.array(found, pa.binary())],
@@ -136,7 +135,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Weight
 
     found = (
         sample.mapInArrow(hashed, "doc_id bigint, label int, grams binary")
-        .coalesce(1)
+        .repartition(1)
         .mapInArrow(learned, "buckets binary, values binary, bias double")
         .collect()
     )
@@ -155,7 +154,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7)
 
     def scored(batches):
         score = weights.scorer()
-        for batch in batches:
+        for batch in slices(batches):
             values = [score(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(values, pa.float64())], names=["doc_id", "score"]

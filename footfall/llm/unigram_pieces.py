@@ -28,15 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.tables import slices
 from footfall.llm.words import to_bytes
 
 MARK = "▁"
 #: A byte costs more than any piece, so bytes only stand where no piece does.
 BYTE_SCORE = -1e6
 #: Parts of a text remembered by one worker.
-CACHED_PARTS = 1 << 19
+CACHED_PARTS = 1 << 18
 #: Characters of texts, and of parts, encoded at a time.
-BATCH_CHARACTERS = 1 << 21
+BATCH_CHARACTERS = 1 << 20
 #: Longer parts are encoded one by one: few have their length, and arrays need many to pay.
 LONG_PART = 64
 _PARTS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -379,7 +380,7 @@ def with_pieces(docs: DataFrame, model: str | None = None) -> DataFrame:
 
     def encode(batches):
         worker = encoder(path)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [text or "" for text in batch.column("text").to_pylist()]
             for start, end in _of_bounded_size(texts):
                 ids, offsets = worker.encode_all(texts[start:end])

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Hashes kept in memory by one worker; the table starts anew beyond it.
-CACHED_WORDS = 1 << 18
+CACHED_WORDS = 1 << 17
 
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -28,6 +28,10 @@ class WordHasher(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+#: One for all operators: a worker may run several of them.
+HASHER = WordHasher()
+
+
 def to_bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
