@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +55,8 @@ def slices(batches, rows: int = 512):
     for batch in batches:
         for start in range(0, len(batch), rows):
             yield batch.slice(start, rows)
+        del batch
+        pa.default_memory_pool().release_unused()  # workers live on after the task
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -35,7 +35,7 @@ MARK = "▁"
 #: A byte costs more than any piece, so bytes only stand where no piece does.
 BYTE_SCORE = -1e6
 #: Parts of a text remembered by one worker.
-CACHED_PARTS = 1 << 18
+CACHED_PARTS = 1 << 17
 #: Characters of texts, and of parts, encoded at a time.
 BATCH_CHARACTERS = 1 << 20
 #: Longer parts are encoded one by one: few have their length, and arrays need many to pay.
