@@ -1,12 +1,14 @@
 """Personal data: patterns, and terms that disclose it by co-occurrence; DataFrame expressions only.
 
 Emails, IP addresses, card and phone numbers are found by pattern. Then the whole
-corpus says which terms give them away: a term occurs with a kind of personal data where it stands
-within ``CONTEXT`` characters of it. The pointwise mutual information of term and kind,
-as a share of the information of the kind itself (which it reaches when the
-term never stands elsewhere), is the term's disclosure. In the neighbourhood of such data, terms from ``generalise_from``
-on are replaced by a placeholder, from ``remove_from`` on they are removed, if they were seen
-in ``least_contexts`` different contexts.
+corpus says which terms give them away: a term occurs with a kind of personal data, and with the value that
+stands there, where it is within ``CONTEXT`` characters of it. The pointwise mutual information of term and
+kind or value, as a share of the information of the kind or value itself (which it reaches when the
+term never stands elsewhere), is the term's disclosure. Counts are smoothed: each term has ``PRIOR``
+further occurrences, beside the kind or value as often as any term is, so terms seen once score
+less than those seen often, the more so the smaller the corpus, and none is left out for being rare.
+In the neighbourhood of such data, terms from ``generalise_from`` on are replaced by a placeholder, from
+``remove_from`` on they are removed. ``least_contexts`` (off by default) also asks for so many different contexts.
 
 Null and empty texts hold nothing. Repeated rows get equal results (each counts in the
 corpus); null ids are carried through. Overlapping spans are all reported, and replaced as one. Ties
@@ -34,6 +36,8 @@ _PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _TERM = r"[\p{L}\p{N}](?:\S*[\p{L}\p{N}])?"
 CONTEXT = 48
+#: Occurrences added to each term, beside personal data as often as any term is.
+PRIOR = 3
 #: Documents with terms to replace are broadcast up to so many.
 BROADCAST_ROWS = 100_000
 
@@ -89,8 +93,17 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def protected(kind: Column, value: Column) -> Column:
+    """What a term may disclose: the kind of a match, and its value, however it is written."""
+    plain = F.when(kind.isin(KINDS.index("card"), KINDS.index("phone")), F.regexp_replace(value, "[^0-9]", ""))
+    return F.array(kind.cast("bigint"), F.xxhash64(kind, plain.otherwise(F.lower(value))))
+
+
 def context_terms(docs: DataFrame) -> DataFrame:
-    """``row, kind, start, end, term, context`` for each term near personal data and outside of it."""
+    """``row, target, start, end, term, context, copies`` for each term near personal data and outside of it.
+
+    A target is a kind or a value; ``copies`` is the number of rows with that id and text.
+    """
     found = _texts(docs).withColumn("spans", base_spans(F.col("text"))).where(F.size("spans") > 0)
     text, length = F.col("text"), F.length("text")
 
@@ -99,15 +112,17 @@ def context_terms(docs: DataFrame) -> DataFrame:
         last = F.least(span["end"] + CONTEXT, length)
         before = F.substring(text, first + 1, span["start"] - first)
         after = F.substring(text, span["end"] + 1, last - span["end"])
+        targets = protected(span["kind"], F.substring(text, span["start"] + 1, span["end"] - span["start"]))
+        own = [targets.alias("targets"), span["start"].alias("span"), span["end"].alias("span_end")]
         return F.array(
-            F.struct(span["kind"].alias("kind"), first.alias("offset"), before.alias("side")),
-            F.struct(span["kind"].alias("kind"), span["end"].alias("offset"), after.alias("side")),
+            F.struct(*own, first.alias("offset"), before.alias("side")),
+            F.struct(*own, span["end"].alias("offset"), after.alias("side")),
         )
 
     rows = found.select("row", "spans", length.alias("length"), F.explode(F.flatten(F.transform("spans", sides))).alias("s"))
-    rows = rows.select("row", "spans", "length", "s.kind", "s.offset", "s.side")
+    rows = rows.select("row", "spans", "length", "s.*")
     terms = rows.select(
-        "row", "kind", "offset", "side", "spans", "length",
+        "row", "targets", "span", "span_end", "offset", "side", "spans", "length",
         F.xxhash64("side").alias("context"),
         F.explode(located(F.col("side"), _TERM, TERM_KIND, lambda m: F.lit(True))).alias("t"),
     )
@@ -116,23 +131,28 @@ def context_terms(docs: DataFrame) -> DataFrame:
     cut = ((F.col("t.start") == 0) & (F.col("offset") > 0)) | ((end == side_end) & (side_end < F.col("length")))
     inside = F.exists("spans", lambda s: (s["start"] < end) & (start < s["end"]))
     term = F.lower(F.substring(F.col("side"), F.col("t.start") + 1, F.col("t.end") - F.col("t.start")))
-    return (
-        terms.where(~cut & ~inside)
-        .select("row", "kind", start.alias("start"), end.alias("end"), term.alias("term"), "context")
-        .dropDuplicates(["row", "kind", "start"])
+    found = terms.where(~cut & ~inside).select(
+        "row", F.explode("targets").alias("target"), "span", "span_end",
+        start.alias("start"), end.alias("end"), term.alias("term"), "context",
+    )
+    one = found.groupBy("row", "target", "start", "end", "term", "span", "span_end").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("context").alias("context")
+    )
+    return one.groupBy("row", "target", "start", "end", "term").agg(
+        F.max("copies").alias("copies"), F.min("context").alias("context")
     )
 
 
 def disclosing_terms(
     docs: DataFrame, terms: DataFrame, least_contexts: int, generalise_from: float
 ) -> DataFrame:
-    """``term, kind, disclosure`` of the terms that reach ``generalise_from``, over the whole corpus."""
-    by_kind = terms.groupBy("term", "kind").agg(
-        F.count(F.lit(1)).alias("together"), F.countDistinct("context").alias("contexts")
-    )
-    near = stored(by_kind)
-    kinds = near.groupBy("kind").agg(F.sum("together").alias("n_kind"))
-    wanted = near.where(F.col("contexts") >= least_contexts)
+    """``term, target, disclosure`` of the terms that reach ``generalise_from``, over the whole corpus."""
+    sums = [F.sum("copies").alias("together")]
+    if least_contexts > 1:
+        sums.append(F.countDistinct("context").alias("contexts"))
+    near = stored(terms.groupBy("term", "target").agg(*sums))
+    targets = near.groupBy("target").agg(F.sum("together").alias("n_target"))
+    wanted = near.where(F.col("contexts") >= least_contexts) if least_contexts > 1 else near
     names = wanted.select(F.col("term").alias("wanted")).distinct()
     words = _texts(docs).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0))).alias("term"))
     counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
@@ -140,26 +160,26 @@ def disclosing_terms(
         counts.join(names, F.col("term") == F.col("wanted"), "left").groupBy("wanted").agg(F.sum("n").alias("n"))
     )
     total = counts.agg(F.sum("n")).first()[0] or 1
-    information = -F.log2(F.col("n_kind") / F.lit(float(total)))
-    mutual = F.log2(F.col("together") * F.lit(float(total)) / (F.col("n") * F.col("n_kind")))
+    usual = F.col("n_target") / F.lit(float(total))
+    share = (F.col("together") + PRIOR * usual) / (F.col("n") + PRIOR)
     return (
         wanted.join(counts, F.col("term") == F.col("wanted"))
-        .join(kinds, "kind")
-        .withColumn("disclosure", F.try_divide(mutual, information))
+        .join(targets, "target")
+        .withColumn("disclosure", F.try_divide(F.log2(share / usual), -F.log2(usual)))
         .where(F.col("disclosure") >= generalise_from)
-        .select("term", "kind", "disclosure")
+        .select("term", "target", "disclosure")
     )
 
 
 def term_spans(
-    docs: DataFrame, least_contexts: int = 5, generalise_from: float = 0.75, remove_from: float = 0.95
+    docs: DataFrame, least_contexts: int = 1, generalise_from: float = 0.75, remove_from: float = 0.95
 ) -> DataFrame:
     """``row, terms``: for each row with any, the terms to replace, as spans, and whether to remove them."""
     terms = stored(context_terms(docs))
     known = disclosing_terms(docs, terms, least_contexts, generalise_from)
     remove = F.max(F.col("disclosure") >= remove_from)
     return (
-        terms.join(known, ["term", "kind"])
+        terms.join(known, ["term", "target"])
         .groupBy("row", "start", "end")
         .agg(remove.alias("remove"))
         .groupBy("row")

@@ -78,6 +78,34 @@ def test_disclosing_terms_are_replaced(spark):
     assert all("term:" in r.spans for r in P.report(docs).where("doc_id < 20").collect())
 
 
+FILLER = [(i, f"{' '.join(f'word{(i * 7 + k) % 50}' for k in range(40))} by hand") for i in range(100, 150)]
+
+
+@pytest.mark.parametrize("copies", [1, 5])
+def test_rare_terms_beside_one_person_are_replaced(spark, copies):
+    rows = [(i, "word1 Badge77x, jo@x.org by hand word2") for i in range(copies)]
+    rows += [(i, f"word{i} by person{i}@y.org word3 word4") for i in range(20, 40)]
+    docs = documents(spark, rows + FILLER)
+    for r in P.sanitised(docs).where(f"doc_id < {copies}").collect():
+        assert "Badge77x" not in r.text and "<EMAIL> by hand word2" in r.text
+    assert "Badge77x" in P.sanitised(docs, least_contexts=5).where("doc_id = 0").first().text
+
+
+def test_terms_beside_one_value_are_replaced(spark):
+    rows = [(i, "word1 smithson jo@x.org by hand") for i in range(3)]
+    rows += [(i, "word1 smithson by hand word2") for i in range(3, 6)]
+    rows += [(i, f"word{i % 50} word{i % 47} person{i}@y.org word{i % 43} word{i % 41}") for i in range(200, 500)]
+    clean = {r.doc_id: r.text for r in P.sanitised(documents(spark, rows + FILLER)).collect()}
+    assert all(clean[i] == "word1 <TERM> <EMAIL> by hand" for i in range(3))
+    assert all(clean[i] == rows[i][1] for i in range(3, 6))
+
+
+def test_repeated_rows_count_each(spark):
+    rows = [(1, "word1 badge77 jo@x.org by hand")] * 9
+    terms = P.context_terms(documents(spark, rows)).where("term = 'badge77'").collect()
+    assert [r.copies for r in terms] == [9, 9]
+
+
 def test_personal_data_of_odd_rows(docs, no_docs):
     assert P.report(docs).count() == len(TEXTS)
     assert P.report(no_docs).collect() == [] and P.sanitised(no_docs).collect() == []
