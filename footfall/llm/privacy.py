@@ -7,6 +7,7 @@ kind or value, as a share of the information of the kind or value itself (which
 term never stands elsewhere), is the term's disclosure. Counts are smoothed: each term has ``PRIOR``
 further occurrences, beside the kind or value as often as any term is, so terms seen once score
 less than those seen often, the more so the smaller the corpus, and none is left out for being rare.
+Terms are cut at the edges of personal data, for all counts.
 In the neighbourhood of such data, terms from ``generalise_from`` on are replaced by a placeholder, from
 ``remove_from`` on they are removed. ``least_contexts`` (off by default) also asks for so many different contexts.
 
@@ -93,6 +94,24 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def blanked(text: Column, spans: Column) -> Column:
+    """``text`` with spaces for all that ``spans`` (by start) cover, at the same length."""
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+
+    def extend(state, s):
+        start, end = F.greatest(state["at"], s["start"]), F.greatest(state["at"], s["end"])
+        between = F.substring(text, state["at"] + 1, start - state["at"])
+        return F.struct(
+            end.alias("at"), F.concat(state["parts"], F.array(between, F.repeat(F.lit(" "), end - start))).alias("parts")
+        )
+
+    def finish(state):
+        rest = F.substring(text, state["at"] + 1, F.length(text) - state["at"])
+        return F.concat(F.array_join(state["parts"], ""), rest)
+
+    return F.when(F.size(spans) > 0, F.aggregate(spans, empty, extend, finish)).otherwise(text)
+
+
 def protected(kind: Column, value: Column) -> Column:
     """What a term may disclose: the kind of a match, and its value, however it is written."""
     plain = F.when(kind.isin(KINDS.index("card"), KINDS.index("phone")), F.regexp_replace(value, "[^0-9]", ""))
@@ -105,33 +124,33 @@ def context_terms(docs: DataFrame) -> DataFrame:
     A target is a kind or a value; ``copies`` is the number of rows with that id and text.
     """
     found = _texts(docs).withColumn("spans", base_spans(F.col("text"))).where(F.size("spans") > 0)
-    text, length = F.col("text"), F.length("text")
+    found = found.withColumn("blanked", blanked(F.col("text"), F.col("spans")))
+    text, outside, length = F.col("text"), F.col("blanked"), F.length("text")
 
     def sides(span):
-        first = F.greatest(span["start"] - CONTEXT, F.lit(0))
-        last = F.least(span["end"] + CONTEXT, length)
-        before = F.substring(text, first + 1, span["start"] - first)
-        after = F.substring(text, span["end"] + 1, last - span["end"])
+        # One character more, to leave out a run that begins before the context or ends behind it.
+        first, last = span["start"] - CONTEXT - 1, span["end"] + CONTEXT + 1
+        offset = F.greatest(first, F.lit(0))
+        before = F.substring(outside, offset + 1, span["start"] - offset)
+        whole = F.when(first >= 0, F.regexp_replace(before, r"^\S++", "")).otherwise(before)
+        after = F.substring(outside, span["end"] + 1, F.least(last, length) - span["end"])
+        after = F.when(last <= length, F.regexp_replace(after, r"(?<!\S)\S++$", "")).otherwise(after)
         targets = protected(span["kind"], F.substring(text, span["start"] + 1, span["end"] - span["start"]))
         own = [targets.alias("targets"), span["start"].alias("span"), span["end"].alias("span_end")]
         return F.array(
-            F.struct(*own, first.alias("offset"), before.alias("side")),
+            F.struct(*own, (span["start"] - F.length(whole)).alias("offset"), whole.alias("side")),
             F.struct(*own, span["end"].alias("offset"), after.alias("side")),
         )
 
-    rows = found.select("row", "spans", length.alias("length"), F.explode(F.flatten(F.transform("spans", sides))).alias("s"))
-    rows = rows.select("row", "spans", "length", "s.*")
+    rows = found.select("row", F.explode(F.flatten(F.transform("spans", sides))).alias("s")).select("row", "s.*")
     terms = rows.select(
-        "row", "targets", "span", "span_end", "offset", "side", "spans", "length",
+        "row", "targets", "span", "span_end", "offset", "side",
         F.xxhash64("side").alias("context"),
         F.explode(located(F.col("side"), _TERM, TERM_KIND, lambda m: F.lit(True))).alias("t"),
     )
     start, end = F.col("offset") + F.col("t.start"), F.col("offset") + F.col("t.end")
-    side_end = F.col("offset") + F.length("side")
-    cut = ((F.col("t.start") == 0) & (F.col("offset") > 0)) | ((end == side_end) & (side_end < F.col("length")))
-    inside = F.exists("spans", lambda s: (s["start"] < end) & (start < s["end"]))
     term = F.lower(F.substring(F.col("side"), F.col("t.start") + 1, F.col("t.end") - F.col("t.start")))
-    found = terms.where(~cut & ~inside).select(
+    found = terms.select(
         "row", F.explode("targets").alias("target"), "span", "span_end",
         start.alias("start"), end.alias("end"), term.alias("term"), "context",
     )
@@ -154,8 +173,11 @@ def disclosing_terms(
     targets = near.groupBy("target").agg(F.sum("together").alias("n_target"))
     wanted = near.where(F.col("contexts") >= least_contexts) if least_contexts > 1 else near
     names = wanted.select(F.col("term").alias("wanted")).distinct()
-    words = _texts(docs).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0))).alias("term"))
-    counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    outside = blanked(F.col("text"), F.col("spans"))
+    words = _texts(docs).withColumn("spans", base_spans(F.col("text"))).select(
+        F.explode(F.regexp_extract_all(outside, F.lit(_TERM), F.lit(0))).alias("term")
+    )
+    counts = words.groupBy(F.lower("term").alias("term")).agg(F.count(F.lit(1)).alias("n"))
     counts = stored(
         counts.join(names, F.col("term") == F.col("wanted"), "left").groupBy("wanted").agg(F.sum("n").alias("n"))
     )

@@ -100,6 +100,22 @@ def test_terms_beside_one_value_are_replaced(spark):
     assert all(clean[i] == rows[i][1] for i in range(3, 6))
 
 
+def test_terms_glued_to_personal_data_are_counted_alike(spark):
+    texts = ["word1 mailto:bob@x.com, by hand", "tel:+49 170 1234567x", "ip=10.0.0.1/é", "İ漢bob@x.com漢(odd)bob@x.com",
+             f"{'a' * 40},cut,{'b' * 20} bob@x.com {'c' * 20},cut,{'d' * 40} mailto tel"]
+    docs = documents(spark, list(enumerate(texts)) + FILLER)
+    terms = P.context_terms(docs)
+    near = {(r.row, r.term) for r in terms.collect()}
+    found = {term for _, term in near}
+    assert {"word1", "mailto", "tel", "x", "ip", "é", "İ漢".lower(), "漢(odd"} <= found
+    assert not [term for term in found if "cut" in term or "@" in term]
+    known = P.disclosing_terms(docs, terms, 1, -100.0).collect()
+    assert len(known) == terms.select("term", "target").distinct().count()
+    assert all(r.disclosure <= 1 for r in known)
+    clean = {r.doc_id: r.text for r in P.sanitised(docs).collect()}
+    assert clean[2] == "<TERM>=<IP>/<TERM>" and clean[1] == "<TERM>:<PHONE><TERM>"
+
+
 def test_repeated_rows_count_each(spark):
     rows = [(1, "word1 badge77 jo@x.org by hand")] * 9
     terms = P.context_terms(documents(spark, rows)).where("term = 'badge77'").collect()
