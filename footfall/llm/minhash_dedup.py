@@ -6,7 +6,8 @@ out to places, the second gives each place its rank, and coordinate ``k`` is the
 rank of the set with the places shifted by ``k``, round the circle. Bands of coordinates
 give candidates; every link is confirmed on the full sets.
 
-Equal sets are one node, named by their smallest id. The candidates of a band's bucket are first compared
+Equal sets are one node, named by the smallest hash of an id and text that has it; a component is
+reported by its smallest id. The candidates of a band's bucket are first compared
 with its smallest node only; a group of copies becomes one component by that,
 at a cost in proportion to its size. What is left are pairs of a bucket that
 lie in different components: in small buckets (``SMALL``) as pairs, in larger ones as
@@ -17,7 +18,8 @@ untested unless its documents are connected already, so no connection is lost.
 Null and empty texts, and those of white space, have an empty set: they are linked with
 nothing and are kept. A row with a null id takes no part (``component_id`` null,
 kept). Rows are documents: repeated rows get the same component, and a repeated id with
-another text gets that of its text. Other columns are left out.
+another text gets that of its text. Rows that share the smallest id of their component all stay,
+so identical rows do. Other columns are left out.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.tables import bitmap, connected, in_bitmap, slices, stored
@@ -80,8 +82,12 @@ def set_digest(shingles: np.ndarray) -> tuple[int, int]:
     return int(high), int(low)
 
 
+def row_hash(docs: DataFrame) -> Column:
+    return F.xxhash64(docs["doc_id"].cast("bigint"), docs["text"])
+
+
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, n_shingles, high, low, bands`` for each row of ``docs``; no bands for an empty set."""
+    """``row, doc_id, n_shingles, high, low, bands`` for each row of ``docs``; no bands for an empty set."""
 
     def measured(batches):
         for batch in slices(batches):
@@ -95,17 +101,18 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                 bands.append(band_keys(signature(shingles)) if len(shingles) else None)
             yield pa.RecordBatch.from_arrays(
                 [
+                    batch.column("row"),
                     batch.column("doc_id"),
                     pa.array(sizes, pa.int64()),
                     pa.array(highs, pa.int64()),
                     pa.array(lows, pa.int64()),
                     pa.array(bands, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "high", "low", "bands"],
+                names=["row", "doc_id", "n_shingles", "high", "low", "bands"],
             )
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(
-        measured, "doc_id bigint, n_shingles bigint, high bigint, low bigint, bands array<bigint>"
+    return docs.select(row_hash(docs).alias("row"), docs["doc_id"].cast("bigint").alias("doc_id"), "text").mapInArrow(
+        measured, "row bigint, doc_id bigint, n_shingles bigint, high bigint, low bigint, bands array<bigint>"
     )
 
 
@@ -126,7 +133,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                 [batch.column("node"), pa.array(found, pa.binary())], names=["node", "shingles"]
             )
 
-    rows = docs.selectExpr("cast(doc_id as bigint) node", "text").where("node is not null")
+    rows = docs.where(docs["doc_id"].isNotNull()).select(row_hash(docs).alias("node"), "text")
     rows = rows.select("node", F.xxhash64("node").alias("h"), "text")
     return rows.mapInArrow(sets, "node bigint, shingles binary")
 
@@ -234,12 +241,18 @@ def _large_buckets(members: DataFrame, docs: DataFrame, width: int, percent: int
 
 def components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs (doc_id, text)``."""
+    return row_components(docs, width, percent).drop("row")
+
+
+def row_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``components`` with the hash of each row."""
     measured = stored(signatures(docs, width))
     nodes = stored(
         measured.where("n_shingles > 0 and doc_id is not null")
         .groupBy("high", "low")
         .agg(
-            F.min("doc_id").alias("node"),
+            F.min("row").alias("node"),
+            F.min("doc_id").alias("doc_id"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("bands").alias("bands"),
         )
@@ -272,12 +285,14 @@ def components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     large = _large_buckets(left.where(f"size > {SMALL}"), docs, width, percent)
     roots = connected(links.unionByName(small).unionByName(large))
 
-    names = nodes.select("high", "low", "node").join(roots, "node", "left")
-    names = names.select("high", "low", F.coalesce("root", "node").alias("component_id"))
+    names = nodes.select("high", "low", "node", "doc_id").join(roots, "node", "left")
+    names = names.select("high", "low", F.coalesce("root", "node").alias("root"), "doc_id")
+    least = names.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    names = names.drop("doc_id").join(least, "root")
     own = F.col("n_shingles") > 0
     with_set = measured.where(own & F.col("doc_id").isNotNull()).join(names, ["high", "low"])
     without = measured.where(~own | F.col("doc_id").isNull()).withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "n_shingles", "component_id"]
+    columns = ["row", "doc_id", "n_shingles", "component_id"]
     return (
         with_set.select(*columns)
         .unionByName(without.select(*columns))
@@ -286,9 +301,9 @@ def components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each component, and all rows with an empty text or a null id."""
-    found = components(docs, width, percent)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    """``docs`` with one id of each component, and all rows with an empty text or a null id."""
+    found = row_components(docs, width, percent)
+    gone = found.where(~F.col("kept")).select(F.col("row").alias("_gone")).distinct()
     named = docs.where(F.col("doc_id").isNotNull())
-    kept = named.join(gone, named["doc_id"].cast("bigint") == gone["_gone"], "left_anti")
+    kept = named.join(gone, row_hash(named) == gone["_gone"], "left_anti")
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -73,6 +73,15 @@ def test_components_of_odd_rows(docs):
     assert found == expected_components(TEXTS, 4, 80)
 
 
+def test_an_id_with_two_texts_names_two_documents(spark):
+    rows = [(1, BASE), (1, LONG), (2, BASE + " end"), (3, LONG + " end"), (0, LONG + " more"), (4, "two words"), (4, "two words")]
+    frame = documents(spark, rows)
+    found = Counter(tuple(r) for r in M.components(frame, width=4).collect())
+    assert found == expected_components(rows, 4, 80)
+    kept = Counter((r.doc_id, r.text) for r in M.one_of_each(frame, width=4).collect())
+    assert kept == Counter([rows[0], rows[4], rows[5], rows[6]])
+
+
 def test_components_of_no_rows(no_docs):
     assert M.components(no_docs).collect() == []
 
