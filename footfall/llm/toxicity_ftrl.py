@@ -28,7 +28,7 @@ TRAINING_ROWS = 16_000
 #: Buckets in fewer documents of the sample are not learned.
 LEAST_DOCUMENTS = 4
 BUCKETS = 1 << 20
-#: Offsets of the words that make a feature: single words, pairs, triples, and pairs with gaps.
+#: Offsets of the words that make a feature: single words, pairs, and pairs with gaps.
 GRAMS = ((0,), (0, 1), (0, 2), (0, 3))
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 10.0, 0.0
 #: Label 1 is the rarer one; its examples count so many times.
