@@ -60,13 +60,18 @@ def fold_batches(
     fold: Callable[[DataFrame], DataFrame],
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Fold the last ``count`` batches up to ``upto`` into one, for readers of ``read_folded``.
+    """Fold all batches after the last mark up to ``upto`` into one, for readers of ``read_folded``.
+
+    Usually these are ``count`` batches; more or fewer after a restart with another ``count``.
 
     Only the folders of these batches are read, so the cost does not grow with the
     table. A mark is written when the folded batch is complete; until then readers
     see the single batches, and a replay writes the same again.
     """
-    folders = [f"{path}/batch_id={i}" for i in range(upto - count + 1, upto + 1)]
+    marks = spark.read.schema("upto bigint").parquet(f"{path}/_marks").where(F.col("upto") < upto)
+    last = marks.agg(F.max("upto")).first()[0]
+    first = upto - count + 1 if last is None else last + 1
+    folders = [f"{path}/batch_id={i}" for i in range(first, upto + 1)]
     rows = spark.read.option("basePath", path).schema(f"{schema}, batch_id bigint").parquet(*folders)
     write_batch(fold(rows.drop("batch_id")), f"{path}/_folded", upto, partition_by)
     mark_folded(spark, path, upto)

@@ -1,5 +1,7 @@
 """Micro-batches, late data and replays; batch equality at scale is in test_oracles."""
 
+import pytest
+
 from helpers import line, tuples
 from pyspark.sql import functions as F
 
@@ -196,3 +198,16 @@ def test_empty_input_writes_nothing_wrong(spark, tmp_path):
     feed.add("not a hit")
     streaming.stream_pvuv_by_day(feed.stream(), CONFIG, out, f"{tmp_path}/cp").awaitTermination()
     assert streaming.read_pvuv_by_day(spark, out).count() == 0
+
+
+@pytest.mark.parametrize("before, after", [(4, 3), (4, 6)])
+def test_folding_goes_on_after_a_restart_with_another_count(spark, tmp_path, before, after):
+    path = str(tmp_path / "folded")
+    sinks.mark_folded(spark, path, -1)
+    for i in range(13):
+        sinks.write_batch(spark.range(i, i + 1), path, i)
+        every = before if i < 7 else after
+        for _ in range(2 if (i + 1) % every == 0 else 0):  # the second time as a replay
+            sinks.fold_batches(spark, path, i, every, "id bigint", lambda rows: rows)
+    found = sorted(r.id for r in sinks.read_folded(spark, path, "id bigint").collect())
+    assert found == list(range(13))
