@@ -143,3 +143,31 @@ select doc_id, octet_length(b) as n_bytes, cast(coalesce(n_removed, 0) as bigint
   coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(rest, hex(b)))) as kept_sha256
 from docs left join kept using (row)
 """
+
+ORACLES["op11_window_dedup"] = """
+with words as (
+  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
+  from documents
+),
+windows as (
+  select doc_id, i, array_to_string(w[i:i + 12], ' ') as s
+  from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from words)
+),
+firsts as (select s, min(doc_id) as least from windows group by s),
+gone as (
+  select distinct doc_id, unnest(range(i, i + 13)) as p from windows join firsts using (s) where least < doc_id
+),
+intervals as (
+  select doc_id, count(*) as n_removed, count(*) filter (before is null or p > before + 1) as n_intervals
+  from (select doc_id, p, lag(p) over (partition by doc_id order by p) as before from gone)
+  group by doc_id
+),
+places as (select doc_id, w, unnest(range(1, len(w) + 1)) as p from words),
+kept as (
+  select doc_id, string_agg(w[p], ' ' order by p) as t
+  from places anti join gone using (doc_id, p) group by doc_id
+)
+select doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed, coalesce(n_intervals, 0) as n_intervals,
+  sha256(coalesce(t, '')) as kept_sha256
+from words left join intervals using (doc_id) left join kept using (doc_id)
+"""

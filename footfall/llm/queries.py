@@ -15,6 +15,7 @@ from footfall.llm import (
     token_counts,
     toxicity_ftrl,
     unigram_pieces,
+    window_dedup,
 )
 from footfall.llm.oracles import ORACLES  # noqa: F401
 from footfall.llm.tables import ship_package, table
@@ -90,3 +91,8 @@ def op9(spark, sf_dir):
 @query("op10_substring_dedup")
 def op10(spark, sf_dir):
     return substring_dedup.repeat_report(table(spark, sf_dir, "documents"))
+
+
+@query("op11_window_dedup")
+def op11(spark, sf_dir):
+    return window_dedup.window_report(table(spark, sf_dir, "documents"))
