@@ -171,3 +171,60 @@ select doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed, coalesce(
   sha256(coalesce(t, '')) as kept_sha256
 from words left join intervals using (doc_id) left join kept using (doc_id)
 """
+
+# CRC-32 by its table of 256 entries, made from the polynomial.
+ORACLES["op12_prefix_trie"] = """
+with entries as (
+  select i, list_reduce(list_prepend(i, [cast(k as bigint) for k in range(8)]), lambda a, k:
+    case when a % 2 = 1 then xor(cast(3988292384 as bigint), a >> 1) else a >> 1 end) as v
+  from (select unnest(range(cast(256 as bigint))) as i)
+),
+crc as (select list(v order by i) as t from entries),
+turns as (
+  select conv_id, role, text,
+    row_number() over (partition by conv_id order by turn nulls first,
+      sha256(concat(length(role), ':', role, text))) as pos
+  from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations)
+  where conv_id is not null
+),
+convs as (
+  select conv_id, conv_id - conv_id % 100 as base,
+    xor(list_reduce(list_prepend(cast(4294967295 as bigint),
+      list_transform(string_split(cast(conv_id as varchar), ''), lambda x: cast(ascii(x) as bigint))),
+      lambda a, b: xor(a >> 8, t[cast(xor(a, b) & 255 as bigint) + 1])), cast(4294967295 as bigint)) % 6 as h
+  from (select distinct conv_id from turns) cross join crc
+),
+heads as (
+  select c.conv_id, t.pos as d, t.role, t.text from convs c join turns t on t.conv_id = c.base and t.pos <= c.h
+),
+lent as (select conv_id, count(*) as n from heads group by conv_id),
+rebuilt as (
+  select * from heads
+  union all
+  select c.conv_id, coalesce(n, 0) + t.pos - c.h, t.role, t.text
+  from convs c join turns t on t.conv_id = c.conv_id and t.pos > c.h left join lent on lent.conv_id = c.conv_id
+),
+sizes as (select c.conv_id, count(r.d) as n from convs c left join rebuilt r using (conv_id) group by c.conv_id),
+prefixes as (
+  select conv_id, d, length(text) as chars,
+    list({'r': role, 't': text}) over (partition by conv_id order by d rows unbounded preceding) as path
+  from rebuilt
+  union all select conv_id, 0, 0, [] from convs
+),
+nodes as (
+  select path, d, min(p.conv_id) as conv_id, count(*) as n_convs, max(chars) as chars,
+    bool_and(s.n = d) as childless,
+    sha256(coalesce(string_agg(cast(p.conv_id as varchar), ',' order by p.conv_id) filter (s.n = d), '')) as ends_sha256
+  from prefixes p join sizes s using (conv_id) group by path, d
+),
+inside as (
+  select u.path, u.d, sum(case when v.childless then 1 else 0 end) as n_leaves,
+    sum((v.n_convs - 1) * v.chars) as saved_tokens, count(*) filter (v.d = u.d + 1) as n_children
+  from nodes u join nodes v on v.d >= u.d and v.path[:u.d] = u.path
+  group by u.path, u.d
+)
+select n.conv_id, n.d as depth, p.conv_id as parent_conv_id, n.n_convs, cast(i.n_children as bigint) as n_children,
+  cast(i.n_leaves as bigint) as n_leaves, cast(i.saved_tokens as bigint) as saved_tokens, n.ends_sha256
+from nodes n join inside i on i.path = n.path and i.d = n.d
+left join nodes p on p.d = n.d - 1 and p.path = n.path[:n.d - 1]
+"""

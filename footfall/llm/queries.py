@@ -9,12 +9,14 @@ from footfall.llm import (
     chat_windows,
     decontamination,
     minhash_dedup,
+    prefix_trie,
     privacy,
     quality_gbt,
     substring_dedup,
     token_counts,
     toxicity_ftrl,
     unigram_pieces,
+    whitening,
     window_dedup,
 )
 from footfall.llm.oracles import ORACLES  # noqa: F401
@@ -96,3 +98,13 @@ def op10(spark, sf_dir):
 @query("op11_window_dedup")
 def op11(spark, sf_dir):
     return window_dedup.window_report(table(spark, sf_dir, "documents"))
+
+
+@query("op13_whitening")
+def op13(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_prefix_trie")
+def op12(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
