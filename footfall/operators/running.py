@@ -147,6 +147,24 @@ def _arrival(rows: DataFrame, order: Sequence[str]) -> Column:
     return F.struct(*order)
 
 
+def arrival_triggers(
+    hits: DataFrame, dims: Sequence[str], order: Sequence[str], across_days: bool = False
+) -> DataFrame:
+    """``dims, minute, first``: the minutes that pass the mark, and the arrival that does."""
+    return _triggers(hits, dims, _arrival(hits, order), across_days)
+
+
+def at_next_trigger(
+    hits: DataFrame, triggers: DataFrame, dims: Sequence[str], order: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Hits with the ``minute`` of the first trigger that does not come before them, else NULL."""
+    arrays = triggers.groupBy(*dims).agg(
+        F.sort_array(F.collect_list(F.struct("first", "minute"))).alias("triggers")
+    )
+    found = _next_trigger(F.col("triggers"), _arrival(hits, order))["minute"]
+    return lookup_join(hits, arrays, dims, how).withColumn("minute", found).drop("triggers")
+
+
 def hwm_snapshot(
     hits: DataFrame,
     dims: Sequence[str] = ("date", "ws"),

@@ -525,6 +525,8 @@ _add("campaign_codes", _CODES + "select title, code from codes")
 _add("stream_pvuv_by_day", "select * from daily")
 _add("stream_uv", "select date, ws, uv from daily")
 _add("stream_snapshot", "select * from running")
+_add("stream_hwm_snapshot", _hwm("select * from snapshots", across_days=True))
+_add("refit_day", "select * from daily")
 _add("stream_pvuv_by_minute", _four("date, minute, ws", "g"))
 _add("stream_pvuv_by_subsite", ORACLES["pvuv_by_subsite"].removeprefix(BASE))
 _add("stream_pvuv_by_site_list", ORACLES["pvuv_by_site_list"].removeprefix(BASE))

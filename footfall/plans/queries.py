@@ -192,9 +192,8 @@ def sink_minute_snapshot(spark, sf_dir):
     running = _running(spark, sf_dir)
     created = M.page_views(_page_hits(spark, sf_dir), [*DIMS, "minute"])
     zeros = [F.lit(0).cast("bigint").alias(m) for m in M.METRICS]
-    sinks.write_batch(created.select(*DIMS, "minute", *zeros), path, 0)
-    sinks.write_batch(running, path, 1)
-    return sinks.read_keyed(spark, path, sinks.SNAPSHOT_KEYS)
+    sinks.upsert_table(spark, path, created.select(*DIMS, "minute", *zeros), sinks.SNAPSHOT_KEYS, 0)
+    return sinks.upsert_table(spark, path, running, sinks.SNAPSHOT_KEYS, 1)
 
 
 @query
@@ -211,9 +210,7 @@ def upsert_activity_metrics(spark, sf_dir):
 @query
 def goods_state_upsert(spark, sf_dir):
     events = _goods_events(spark, sf_dir)
-    latest = events.groupBy("port", "pcode").agg(
-        F.max_by("state", F.struct("time", "event_id", "pos")).alias("state")
-    )
+    latest = goods_ops.latest_states(events, ("port", "pcode")).drop("version")
     enriched = goods_ops.enrich_goods_state(latest, _goods_dimension(spark, sf_dir))
     current = enriched.withColumn("state", F.lit(9))
     changes = enriched.filter(F.col("port") == "wap")
@@ -542,7 +539,7 @@ def activity_minute_pv(spark, sf_dir):
 
 @query
 def goods_state_latest(spark, sf_dir):
-    return goods_ops.latest_goods_state(_goods_events(spark, sf_dir), ("time", "event_id", "pos"))
+    return goods_ops.latest_goods_state(_goods_events(spark, sf_dir))
 
 
 @query
@@ -673,6 +670,23 @@ def stream_snapshot(spark, sf_dir):
     return streaming.read_snapshot(spark, path)
 
 
+@query
+def stream_hwm_snapshot(spark, sf_dir):
+    lines = _staged_lines(spark, sf_dir)
+    path = _run(lambda p, c: streaming.stream_site_snapshots(lines, CONFIG, p, c), spark)
+    return streaming.read_hwm_snapshots(spark, path)
+
+
+@query
+def refit_day(spark, sf_dir):
+    """A stream that lost a third of a day's lines, and the day counted anew from its files."""
+    of_day = F.contains("line", F.lit(f"|_|{SNAPSHOT_DAY}T"))
+    lines = _staged_lines(spark, sf_dir).filter(~of_day | (F.col("event_id") % 3 != 0))
+    path = _run(lambda p, c: streaming.stream_pvuv_by_day(lines, CONFIG, p, c, fold_every=2), spark)
+    streaming.refit_pvuv_by_day(fixtures.hits(spark, sf_dir).filter(of_day), CONFIG, SNAPSHOT_DAY, path)
+    return streaming.read_pvuv_by_day(spark, path)
+
+
 @query
 def stream_activity(spark, sf_dir):
     lines, known = _staged_lines(spark, sf_dir), fixtures.campaigns(spark)

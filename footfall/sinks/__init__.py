@@ -1,19 +1,21 @@
 """Writers, and upserts by key.
 
 A micro-batch writes its rows to its own ``batch_id=N`` folder and overwrites
-it when it is replayed, so totals never count a batch twice. A keyed table is
-the latest row of each key over its batches, and a table of increments is their
-sum; :func:`compact` folds old batches of either into one.
+it when it is replayed, so totals never count a batch twice. A table of increments is the sum of its batches;
+:func:`compact` folds old ones into one. A keyed table rewrites the buckets that a batch touches
+(:mod:`footfall.sinks.versions`).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.operators.metrics import METRICS
+from footfall.sinks.versions import KeyedTable, _children
 
 SNAPSHOT_KEYS = ("date", "ws", "minute")
 ACTIVITY_KEYS = ("date", "code")
@@ -68,8 +70,8 @@ def fold_batches(
     table. A mark is written when the folded batch is complete; until then readers
     see the single batches, and a replay writes the same again.
     """
-    marks = spark.read.schema("upto bigint").parquet(f"{path}/_marks").where(F.col("upto") < upto)
-    last = marks.agg(F.max("upto")).first()[0]
+    marks = spark.read.schema(MARKS).parquet(f"{path}/_marks")
+    last = marks.where(F.col("run").isNull() & (F.col("upto") < upto)).agg(F.max("upto")).first()[0]
     first = upto - count + 1 if last is None else last + 1
     folders = [f"{path}/batch_id={i}" for i in range(first, upto + 1)]
     rows = spark.read.option("basePath", path).schema(f"{schema}, batch_id bigint").parquet(*folders)
@@ -77,19 +79,67 @@ def fold_batches(
     mark_folded(spark, path, upto)
 
 
-def mark_folded(spark: SparkSession, path: str, upto: int) -> None:
-    mark = spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"))
+#: What the log of marks says: batches folded up to one, or a ``date`` counted anew by a ``run``.
+MARKS = "upto bigint, date string, run string, version bigint"
+
+
+def _mark(spark: SparkSession, path: str, upto: int, date=None, run=None, version=None) -> None:
+    values = (("upto", upto, "bigint"), ("date", date, "string"), ("run", run, "string"), ("version", version, "bigint"))
+    mark = spark.range(1).select(*[F.lit(value).cast(kind).alias(name) for name, value, kind in values])
     mark.coalesce(1).write.mode("append").parquet(f"{path}/_marks")
 
 
+def mark_folded(spark: SparkSession, path: str, upto: int) -> None:
+    _mark(spark, path, upto)
+
+
+def replace_day(rows: DataFrame, path: str, date: str, upto: int | None = None) -> None:
+    """Put ``rows`` in place of what the batches up to ``upto`` hold for ``date``; readers of ``read_folded`` see it.
+
+    The rows get a folder of their own, and then a mark: a reader finds the old rows or the new ones. Of several
+    replacements of a date the last counts. ``upto`` is the last finished batch by default.
+    """
+    spark = rows.sparkSession
+    if upto is None:
+        names = [n for n in _children(spark, path) if n.startswith("batch_id=")]
+        done = [n for n in names if "_SUCCESS" in _children(spark, f"{path}/{n}")]
+        upto = max((int(n.removeprefix("batch_id=")) for n in done), default=-1)
+    run = str(uuid.uuid4())
+    rows.filter(F.col("date") == F.lit(date)).write.partitionBy("date").parquet(f"{path}/_refits/run={run}")
+    version = spark.read.schema(MARKS).parquet(f"{path}/_marks").agg(F.max("version")).first()[0] or 0
+    _mark(spark, path, upto, date, run, version + 1)
+
+
 def read_folded(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The folded batches, and the single ones after them."""
-    upto = spark.read.schema("upto bigint").parquet(f"{path}/_marks").agg(F.max("upto")).first()[0]
-    rows = read_batches(spark, path, schema=schema, after=upto)
+    """The folded batches, the single ones after them, and the days that were counted anew.
+
+    The marks are read once, so a reader sees all of one state. Of a replaced day it takes the new rows and
+    the single batches after them, which are still there.
+    """
+    marks = spark.read.schema(MARKS).parquet(f"{path}/_marks")
+    newest = marks.groupBy("date").agg(F.max_by(F.struct("upto", "run"), F.coalesce("version", "upto")).alias("m"))
+    found = newest.select("date", "m.*").collect()
+    upto = next(row.upto for row in found if row.run is None)
+    refits = [row for row in found if row.run is not None]
+    if not refits:
+        rows = read_batches(spark, path, schema=schema, after=upto)
+        if upto >= 0:
+            rows = rows.unionByName(read_batches(spark, f"{path}/_folded", before=upto + 1, schema=schema))
+        return rows.drop("batch_id")
+    dates = [row.date for row in refits]
+    replaced = F.coalesce(F.col("date").isin(dates), F.lit(False))
+    after = F.lit(upto)
+    for row in refits:
+        after = F.when(F.col("date") == row.date, F.lit(row.upto)).otherwise(after)
+    lowest = min(upto, *(row.upto for row in refits))
+    rows = read_batches(spark, path, schema=schema, after=lowest).filter(F.col("batch_id") > after)
     if upto >= 0:
         folded = read_batches(spark, f"{path}/_folded", before=upto + 1, schema=schema)
-        rows = rows.unionByName(folded)
-    return rows.drop("batch_id")
+        rows = rows.unionByName(folded.filter(~replaced))
+    folders = [f"{path}/_refits/run={row.run}" for row in refits]
+    new = spark.read.option("basePath", f"{path}/_refits").schema(f"{schema}, run string").parquet(*folders)
+    new = new.withColumn("date", F.col("date").cast("string")).drop("run")
+    return rows.drop("batch_id").unionByName(new)
 
 
 # -- upserts ----------------------------------------------------------------
@@ -111,15 +161,17 @@ def upsert(current: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataF
 
 
 def upsert_table(
-    spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], batch_id: int
+    spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], batch_id: int, buckets: int = 16
 ) -> DataFrame:
-    """Write ``changes`` to the keyed table at ``path`` and read it again; a replay changes nothing."""
-    write_batch(changes, path, batch_id)
-    return read_keyed(spark, path, keys)
+    """Merge ``changes`` into the keyed table at ``path`` and read it; a replay changes nothing."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in changes.schema.fields)
+    table = KeyedTable(spark, path, schema, keys, buckets)
+    table.merge(changes, batch_id)
+    return table.read()
 
 
 def read_keyed(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Current state of a table whose changes were written batch by batch."""
+    """Current state of changes that were only written batch by batch: all of them are merged."""
     return latest_by_key(read_batches(spark, path), keys, "batch_id")
 
 

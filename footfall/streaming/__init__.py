@@ -7,7 +7,7 @@ batch writes is associative and is merged when read, so late data always counts.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,37 +29,22 @@ from footfall.operators.running import running_from_partials
 from footfall.operators.topn import click_keys, sliding_click_counts, top_items
 from footfall.sinks import (
     fold_batches,
-    latest_by_key,
     mark_folded,
-    read_batches,
     read_folded,
+    replace_day,
     write_batch,
 )
+from footfall.sinks.versions import KeyedTable, LogTable
+from footfall.streaming.jobs import start
+from footfall.streaming.snapshots import (  # noqa: F401
+    read_hwm_snapshots,
+    stream_hwm_snapshots,
+    stream_site_snapshots,
+)
 
 SITE_DIMS = ("date", "ws")
 
 
-def start(
-    rows: DataFrame,
-    write: Callable[[DataFrame, int], None],
-    checkpoint: str,
-    mode: str = "append",
-    every: str | None = None,
-) -> StreamingQuery:
-    """Run ``write`` on each micro-batch; ``every`` is a trigger interval such as ``10 seconds``.
-
-    Without an interval the query takes what is available and ends.
-    """
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (
-        rows.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
-        .trigger(**trigger)
-        .start()
-    )
-
-
 # -- metrics, from partials ---------------------------------------------------
 
 
@@ -119,6 +104,29 @@ def read_pvuv_by_day(spark: SparkSession, path: str) -> DataFrame:
     return read_metrics(spark, path)
 
 
+def refit_metrics(
+    hits: DataFrame,
+    dims: Sequence[str],
+    date: str,
+    path: str,
+    upto: int | None = None,
+    un_policy: str = "named",
+    minutes: bool = False,
+) -> None:
+    """Count ``date`` anew from ``hits``, in place of what the stream at ``path`` wrote for it.
+
+    ``hits`` are those of the day in the batches up to ``upto`` (default: the last one written); what
+    later batches bring for the day counts on top. Readers see the old count until the new one is complete.
+    """
+    rows = partials(hits.filter(F.col("date") == F.lit(date)), list(dims), un_policy, minutes)
+    replace_day(rows, path, date, upto)
+
+
+def refit_pvuv_by_day(lines: DataFrame, config: TrafficConfig, date: str, path: str, **options) -> None:
+    """The four metrics of the main site for one day of ``lines``, in place of the stream's."""
+    refit_metrics(main_site_hits(lines, config, "cuc", "rc", "un"), SITE_DIMS, date, path, **options)
+
+
 def stream_snapshot(
     lines: DataFrame, config: TrafficConfig, path: str, checkpoint: str, **options
 ) -> StreamingQuery:
@@ -184,11 +192,10 @@ def stream_activity(
 ) -> StreamingQuery:
     """Campaign metrics; new titles get the next codes and are counted from their first hit.
 
-    A batch writes its partials and the whole campaign dimension as it stands, read from the
-    batch before it: the cost follows the batch and the number of titles, not the past.
+    A batch writes its partials and the titles that are new in it; without new titles it writes no codes.
     """
     hits = campaign_ops.activity_hits(lines, config, test)
-    parts, codes, dims = f"{path}/partials", f"{path}/codes", list(ACTIVITY_DIMS)
+    parts, dims = f"{path}/partials", list(ACTIVITY_DIMS)
     schema = partials_schema(dims)
     mark_folded(hits.sparkSession, parts, -1)
 
@@ -197,12 +204,12 @@ def stream_activity(
         write_batch(partials(batch, dims, un_policy), parts, batch_id, ["date"])
         folder = f"{parts}/batch_id={batch_id}"
         current = spark.read.option("basePath", folder).schema(schema).parquet(folder)
-        known = campaigns.select("title", "code")
-        if batch_id > 0:
-            known = spark.read.schema(CODE_SCHEMA).parquet(f"{codes}/batch_id={batch_id - 1}")
+        codes = _codes(spark, path)
+        if not codes.parts():
+            codes.append(campaigns.select("title", "code"), 0)
         minute = minute_text(F.col("first_minute")).alias("minute")
         seen = current.select("title", "date", minute)
-        write_batch(campaign_ops.campaign_codes(seen, known), codes, batch_id)
+        codes.append(campaign_ops.new_campaign_codes(seen, codes.read()), batch_id + 1)
         if (batch_id + 1) % fold_every == 0:
             fold = lambda rows: merge_partials(rows, dims)
             fold_batches(spark, parts, batch_id, fold_every, schema, fold, ["date"])
@@ -210,14 +217,13 @@ def stream_activity(
     return start(hits, write, checkpoint, every=every)
 
 
-CODE_SCHEMA = "title string, code string"
+def _codes(spark: SparkSession, path: str) -> LogTable:
+    return LogTable(spark, f"{path}/codes", "title string, code string")
 
 
 def read_codes(spark: SparkSession, path: str) -> DataFrame:
-    """The campaign dimension after the last batch."""
-    rows = read_batches(spark, f"{path}/codes", schema=CODE_SCHEMA)
-    last = rows.agg(F.max("batch_id")).first()[0]
-    return rows.filter(F.col("batch_id") == last).drop("batch_id")
+    """The campaign dimension so far."""
+    return _codes(spark, path).read()
 
 
 def read_activity(spark: SparkSession, path: str) -> DataFrame:
@@ -232,31 +238,40 @@ def read_activity(spark: SparkSession, path: str) -> DataFrame:
 # -- goods ------------------------------------------------------------------
 
 
+NUMBERED = "decimal(38,0)"
+
+
+def _goods(spark: SparkSession, path: str, version: str = NUMBERED, buckets: int = 16) -> KeyedTable:
+    schema = f"website_name string, port string, pcode string, goods_name string, state int, version {version}"
+    return KeyedTable(spark, path, schema, goods_ops.STATE_KEYS, buckets, order="version")
+
+
 def stream_goods_state(
     lines: DataFrame,
     config: TrafficConfig,
     dimension: DataFrame,
     path: str,
     checkpoint: str,
-    version: tuple[str, ...] = ("time", "event_id", "pos"),
     every: str | None = None,
+    buckets: int = 16,
 ) -> StreamingQuery:
-    """Goods states with their names, one row for each key and batch."""
+    """Goods states with their names, in a keyed table; a batch rewrites the buckets of its goods."""
     events = goods_ops.goods_events(goods_hits(lines, config))
+    version = events.select(goods_ops.event_version(events).alias("v")).schema["v"].dataType.simpleString()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        versioned = batch.withColumn("version", F.struct(*version))
-        latest = versioned.groupBy("port", "pcode").agg(
-            F.max_by("state", "version").alias("state"), F.max("version").alias("version")
-        )
-        write_batch(goods_ops.enrich_goods_state(latest, dimension), path, batch_id)
+        latest = goods_ops.latest_states(batch, ("port", "pcode"))
+        rows = goods_ops.enrich_goods_state(latest, dimension)
+        by_name = rows.groupBy(*goods_ops.STATE_KEYS)
+        rows = by_name.agg(F.max_by("state", "version").alias("state"), F.max("version").alias("version"))
+        _goods(batch.sparkSession, path, version, buckets).merge(rows, batch_id)
 
     return start(events, write, checkpoint, every=every)
 
 
-def read_goods_state(spark: SparkSession, path: str) -> DataFrame:
-    rows = read_batches(spark, path).drop("batch_id")
-    return latest_by_key(rows, goods_ops.STATE_KEYS, "version")
+def read_goods_state(spark: SparkSession, path: str, version: str = NUMBERED) -> DataFrame:
+    """The states so far; ``version`` is the type of their order where events are not numbered."""
+    return _goods(spark, path, version).read()
 
 
 # -- clicks -----------------------------------------------------------------

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from footfall import sinks, sources, streaming
 from footfall.fixtures import FIXTURE_CONFIG as CONFIG
 from footfall.operators import metrics as M
+from footfall.operators import running as W
 from footfall.operators.filters import main_site_hits
 
 GOOD = "WS=10000001&PS=www.mall-a.example"
@@ -211,3 +212,120 @@ def test_folding_goes_on_after_a_restart_with_another_count(spark, tmp_path, bef
             sinks.fold_batches(spark, path, i, every, "id bigint", lambda rows: rows)
     found = sorted(r.id for r in sinks.read_folded(spark, path, "id bigint").collect())
     assert found == list(range(13))
+
+
+ORDERED = "event_id bigint, arrival bigint, line string"
+
+
+def moments(many, seed):
+    """Hits of three days, mostly in order of time, some late, some early."""
+    import random
+
+    rng = random.Random(seed)
+    for i in range(many):
+        minute = min(179, max(0, i * 180 // many + rng.choice([0, 0, 0, 1, -3, -70, 2])))
+        day, minute = divmod(minute, 60)
+        yield hit(minute, f"c{rng.randrange(9)}", rng.choice("01"), rng.choice(["", "n1", "n2"]), f"{day + 1:02d}")
+
+
+@pytest.mark.parametrize("batches", [1, 4, 9])
+def test_snapshots_in_the_stream_are_those_of_the_batch(spark, tmp_path, batches):
+    lines = list(enumerate(moments(180, batches)))
+    folder, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    size = -(-len(lines) // batches)
+
+    def add(part):
+        rows = [(i, i, text) for i, text in lines[part * size : (part + 1) * size]]
+        spark.createDataFrame(rows, ORDERED).coalesce(1).write.mode("append").parquet(folder)
+
+    def run():
+        stream = sources.stream_files(spark, folder, ORDERED, max_files=1)
+        query = streaming.stream_site_snapshots(stream, CONFIG, out, f"{tmp_path}/cp")
+        query.awaitTermination()
+
+    for part in range(batches):
+        add(part)
+        if part % 3 == 0:  # the job starts anew from its checkpoint
+            run()
+    run()
+    whole = spark.createDataFrame([(i, i, text) for i, text in lines], ORDERED)
+    hits = main_site_hits(whole, CONFIG, "cuc", "rc", "un")
+    columns = ("date", "ws", "minute", *M.METRICS)
+    want = tuples(W.hwm_snapshot(hits, across_days=True), *columns)
+    assert len(want) > 50 and tuples(streaming.read_hwm_snapshots(spark, out), *columns) == want
+
+
+def test_what_a_snapshot_batch_reads_does_not_grow(spark, tmp_path):
+    feed, out = Feed(spark, tmp_path), f"{tmp_path}/out"
+    for i in range(6):
+        feed.add(*[hit(6 * i + k, f"c{i}x{k}") for k in range(5)])
+    stream = feed.stream().withColumn("arrival", F.col("event_id"))
+    query = streaming.stream_site_snapshots(stream, CONFIG, out, f"{tmp_path}/cp")
+    query.awaitTermination()
+    assert len({p["numInputRows"] for p in query.recentProgress if p["numInputRows"]}) == 1
+    # the state that a batch reads is a row for the site, and keyed state is only looked up
+    states = [spark.read.parquet(f"{out}/state/batch_id={i}").count() for i in range(6)]
+    assert states == [1] * 6
+    for i in range(6):
+        assert spark.read.parquet(f"{out}/snapshots/batch_id={i}").count() == (4 if i == 0 else 5)
+
+
+def test_replay_of_a_snapshot_batch_changes_nothing(spark, tmp_path):
+    import os
+
+    feed, out, cp = Feed(spark, tmp_path), f"{tmp_path}/out", f"{tmp_path}/cp"
+    for texts in BATCHES:
+        feed.add(*texts)
+
+    def run():
+        stream = feed.stream().withColumn("arrival", F.col("event_id"))
+        streaming.stream_site_snapshots(stream, CONFIG, out, cp).awaitTermination()
+        return sorted(map(str, streaming.read_hwm_snapshots(spark, out).collect()))
+
+    before = run()
+    last = max((f for f in os.listdir(f"{cp}/commits") if f.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        os.remove(f"{cp}/commits/{name}")
+    assert run() == before
+
+
+def test_refit_of_a_day_takes_the_streams_place(spark, tmp_path):
+    feed, out, cp = Feed(spark, tmp_path), f"{tmp_path}/out", f"{tmp_path}/cp"
+
+    def run():
+        job = streaming.stream_pvuv_by_day(feed.stream(), CONFIG, out, cp, fold_every=2)
+        job.awaitTermination()
+
+    feed.add(hit(1, "a"), hit(2, "b", day="02"))
+    feed.add(hit(3, "a", day="02"))
+    feed.add(hit(4, "c"))
+    run()
+    during = streaming.read_pvuv_by_day(spark, out)
+    day = spark.createDataFrame([(i, hit(i, f"m{i}")) for i in range(5)], SCHEMA)
+    streaming.refit_pvuv_by_day(day, CONFIG, "2024-01-01", out)
+    assert tuples(during, "date", "pv", "uv") == [("2024-01-01", 2, 2), ("2024-01-02", 2, 2)]
+    after = [("2024-01-01", 5, 5), ("2024-01-02", 2, 2)]
+    assert tuples(streaming.read_pvuv_by_day(spark, out), "date", "pv", "uv") == after
+    for _ in range(3):  # later batches count on top, also when they are folded with earlier ones
+        feed.add(hit(9, "late"), hit(9, "m1"), hit(9, "z", day="02"))
+        run()
+    rows = tuples(streaming.read_pvuv_by_day(spark, out), "date", "pv", "uv")
+    assert rows == [("2024-01-01", 11, 6), ("2024-01-02", 5, 3)]
+    streaming.refit_pvuv_by_day(day.limit(2), CONFIG, "2024-01-01", out)
+    streaming.refit_pvuv_by_day(day.limit(0), CONFIG, "2024-01-02", out)
+    assert tuples(streaming.read_pvuv_by_day(spark, out), "date", "pv", "uv") == [("2024-01-01", 2, 2)]
+
+
+def test_a_batch_without_new_titles_writes_no_codes(spark, tmp_path):
+    import os
+
+    known = spark.sql("select * from values ('A', 'tt1') as c(title, code)")
+    page = "&PU=/activity/1&TT="
+    feed, out = Feed(spark, tmp_path), f"{tmp_path}/out"
+    for title in "ABBAACB":
+        feed.add(hit(3, "a", tail=page + title))
+    streaming.stream_activity(feed.stream(), CONFIG, known, out, f"{tmp_path}/cp").awaitTermination()
+    assert sorted(n for n in os.listdir(f"{out}/codes/_manifest") if n[0] == "v") == [
+        "version=0", "version=2", "version=6",
+    ]
+    assert tuples(streaming.read_codes(spark, out), "title", "code") == [("A", "tt1"), ("B", "tt2"), ("C", "tt3")]
