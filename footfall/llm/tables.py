@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -12,12 +14,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.session import shared_folder
 
 ROOT = Path(__file__).resolve().parents[2]
 
 
+#: Bytes of an Arrow batch: long texts make it few rows.
+BATCH_BYTES = 4 << 20
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors where it is not on their path already."""
+    """Send this package to the executors where it is not on their path already, and keep Arrow batches small."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     on_path = os.environ.get("PYTHONPATH", "").split(os.pathsep)
     here = context.master.startswith("local[") and Path.cwd() == ROOT
@@ -43,10 +51,7 @@ def stored(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            df.sparkSession.conf.get("spark.checkpoint.dir", "")
-            or tempfile.mkdtemp(prefix="checkpoints-")
-        )
+        context.setCheckpointDir(shared_folder(df.sparkSession, "checkpoints"))
     return df.checkpoint(eager=True)
 
 
@@ -56,7 +61,23 @@ def slices(batches, rows: int = 512):
         for start in range(0, len(batch), rows):
             yield batch.slice(start, rows)
         del batch
-        pa.default_memory_pool().release_unused()  # workers live on after the task
+        pa.default_memory_pool().release_unused()
+    give_back_memory()
+
+
+def give_back_memory() -> None:
+    """Return what the allocators keep: workers live on after the task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove shuffles that no frame uses any more; a collection on the driver is what tells it."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -160,6 +181,8 @@ def connected(edges: DataFrame) -> DataFrame:
         smaller = larger.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = stored(smaller.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         after = state(edges)
+        both = least = larger = smaller = None
+        release(edges.sparkSession)
         if after == before:
             roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
