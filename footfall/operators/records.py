@@ -61,13 +61,28 @@ def with_segments(records: DataFrame) -> DataFrame:
     return evaluate_once(split, P.segment_keys(F.col("segments")).alias("keys"))
 
 
+#: Why a line is not parsed, in the order of the tests.
+REASONS = ("fields", "time", "query")
+
+
+def with_reason(lines: DataFrame) -> DataFrame:
+    """``lines`` with the ``reason`` for which a line cannot be parsed, NULL where it can."""
+    reason = (
+        F.when(_is_parsable(), F.lit(None))
+        .when(F.col("_parts").isNull(), REASONS[0])
+        .when(~P.has_time(F.col("_time")), REASONS[1])
+        .otherwise(REASONS[2])
+    )
+    return _with_parts(lines).withColumn("reason", reason).drop("_time", "_parts")
+
+
 def rejects(lines: DataFrame) -> DataFrame:
     """The lines that :func:`parse_records` drops, with the reason."""
     bad = _with_parts(lines).filter(~_is_parsable())
     reason = (
-        F.when(F.col("_parts").isNull(), "fields")
-        .when(~P.has_time(F.col("_time")), "time")
-        .otherwise("query")
+        F.when(F.col("_parts").isNull(), REASONS[0])
+        .when(~P.has_time(F.col("_time")), REASONS[1])
+        .otherwise(REASONS[2])
     )
     return bad.withColumn("reason", reason).drop("_time", "_parts")
 

@@ -228,7 +228,8 @@ def _shared_snapshots(
         "minute", _next_trigger(F.col("triggers"), _arrival(hits, order))["minute"]
     )
     changed = running_metrics(assigned.drop("triggers").filter(F.col("minute").isNotNull()), dims, un_policy)
-    groups = changed.groupBy(*dims).agg(F.min("minute").alias("_since"))
+    groups = changed.groupBy(*dims).agg(F.min(minute_number(F.col("minute"))).alias("_since"))
+    groups = groups.withColumn("_since", minute_text(F.col("_since")))
     rises = arrays.select(*mark_dims, F.explode(F.slice("triggers", 2, F.size("triggers"))).alias("_rise"))
     rises = rises.select(*mark_dims, F.col("_rise.minute").alias("minute"))
     cells = groups.join(rises, list(mark_dims)).filter(F.col("minute") >= F.col("_since")).drop("_since")

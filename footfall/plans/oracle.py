@@ -577,3 +577,37 @@ select window_start, category, item, click_count from (
 ) where r <= 3
 """,
 )
+_add(
+    "stream_audit",
+    r"""
+, bounds as (select min(arrival) as low, (max(arrival) - min(arrival)) / 4.0 as width from hits),
+marked as (
+  select least(cast(floor((arrival - low) / width) as bigint), 3) as batch_id,
+    case when contains(lower(line), 'spider') then 'bot'
+      when event_id in (select event_id from rec) then 'kept'
+      when len(string_split(line, '|_|')) < 4 then 'fields'
+      when not regexp_matches(line, '^[^|]*\|_\|[^|]*\|_\|[^T|]*T(?:[01][0-9]|2[0-3]):[0-5][0-9]') then 'time'
+      else 'query' end as reason
+  from hits cross join bounds
+)
+select batch_id, count(*) as lines, count(*) filter (reason = 'kept') as kept, count(*) filter (reason = 'bot') as bot,
+  count(*) filter (reason = 'fields') as fields, count(*) filter (reason = 'time') as time,
+  count(*) filter (reason = 'query') as query
+from marked group by batch_id
+""",
+)
+_add(
+    "land_hits",
+    "select event_id, date, minute, ws, cuc, page_url, contains(lower(line), 'spider') as bot from fld",
+)
+_add("pvuv_by_day_landed", "select * from daily where date = '2024-01-15'")
+_add(
+    "uv_rollup",
+    f"""
+, s as (select * from visible where ws in ({_SITES}) and cle is null)
+select 'date-ws' as level, date, ws, count(distinct visitor) as uv from s group by date, ws
+union all select 'date', date, '', count(distinct visitor) from s group by date
+union all select 'ws', '', ws, count(distinct visitor) from s group by ws
+union all select 'all', '', '', count(distinct visitor) from s
+""",
+)

@@ -7,6 +7,7 @@ has the independent SQL text for the same key.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,9 @@ from footfall.operators import metrics as M
 from footfall.operators import records as R
 from footfall.operators import running as W
 from footfall.operators import topn as T
+from footfall.operators import visitors
 from footfall.session import shared_folder
+from footfall.sources import landing
 from footfall.streaming.staging import files_per_batch, stage_in_order
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,14 +163,34 @@ def stream_clicks(spark, sf_dir):
 
 @query
 def scan_dim_tables(spark, sf_dir):
-    fixtures.goods(spark, sf_dir).createOrReplaceTempView("footfall_goods")
-    fixtures.website(spark, sf_dir).createOrReplaceTempView("footfall_website")
+    folder, by = shared_folder(spark, "warehouse"), ["website_cd"]
+    sinks.store_table(fixtures.goods(spark, sf_dir), "footfall_goods", f"{folder}/goods", by, 8)
+    sinks.store_table(fixtures.website(spark, sf_dir), "footfall_website", f"{folder}/website", by, 8)
     goods, website = sources.scan_dim_tables(spark, "footfall_goods", "footfall_website")
     return goods.join(website, "website_cd").select(
         "goods_name", "goods_business_cd", "website_cd", "website_name"
     )
 
 
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    path = f"{shared_folder(spark, 'landing')}/hits"
+    landing.land_hits(fixtures.hits(spark, sf_dir), path)
+    return path
+
+
+@query
+def land_hits(spark, sf_dir):
+    rows = landing.landed(spark, _landed(spark, sf_dir))
+    return rows.select("event_id", "date", "minute", "ws", "cuc", "page_url", "bot")
+
+
+@query
+def pvuv_by_day_landed(spark, sf_dir):
+    """One day from the landing table: a partition, and of its files the row groups of the site."""
+    hits = landing.landed_main_site_hits(spark, _landed(spark, sf_dir), CONFIG, [SNAPSHOT_DAY])
+    return M.four_metrics(hits, DIMS)
+
+
 @query
 def scan_tab_pairs(spark, sf_dir):
     path = f"{shared_folder(spark, 'pairs')}/pairs"
@@ -439,6 +462,25 @@ def uv_by_day(spark, sf_dir):
     return M.unique_visitors(_page_hits(spark, sf_dir, "cuc"), DIMS)
 
 
+@query
+def uv_rollup(spark, sf_dir):
+    """Visitors by day and site, day, site and in all, from stored sets that two batches have filled."""
+    hits = X.site_list_hits(fixtures.hits(spark, sf_dir), CONFIG, "cuc")
+    sets = visitors.VisitorSets(spark, f"{shared_folder(spark, 'sets')}/visitors")
+    for version in (0, 1):
+        sets.add(hits.filter(F.col("event_id") % 2 == version), version)
+    levels = (("date", "ws"), ("date",), ("ws",), ())
+    found = [
+        sets.count(*dims).select(
+            F.lit("-".join(dims) or "all").alias("level"),
+            *[(F.col(d) if d in dims else F.lit("")).alias(d) for d in DIMS],
+            "uv",
+        )
+        for dims in levels
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def rc_by_day(spark, sf_dir):
     return M.first_visitors(_page_hits(spark, sf_dir, "cuc", "rc"), DIMS)
@@ -670,6 +712,12 @@ def stream_snapshot(spark, sf_dir):
     return streaming.read_snapshot(spark, path)
 
 
+@query
+def stream_audit(spark, sf_dir):
+    lines = _staged_lines(spark, sf_dir)
+    return streaming.read_audit(spark, _run(lambda p, c: streaming.stream_audit(lines, p, c), spark))
+
+
 @query
 def stream_hwm_snapshot(spark, sf_dir):
     lines = _staged_lines(spark, sf_dir)
@@ -754,7 +802,7 @@ def stream_topn_sliding(spark, sf_dir):
     files = files_per_batch(spark, folder)
     lines = sources.stream_files(spark, folder, sources.CLICK_SCHEMA, files)
     path = _run(lambda p, c: streaming.stream_topn_sliding(lines, p, c, "1 day", "8 hours"), spark)
-    rows = streaming.read_topn_sliding(spark, path)
+    rows = streaming.read_topn_sliding(spark, path, length="1 day", slide="8 hours")
     return rows.select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"),
         "category",

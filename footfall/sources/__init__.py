@@ -39,6 +39,31 @@ def scan_metric_snapshot(spark: SparkSession, path: str, date: str) -> DataFrame
     return rows.filter(F.col("date") == F.lit(date)).withColumn("date", F.col("date").cast("string"))
 
 
+def start_offsets(
+    committed: dict[int, int] | None,
+    earliest: dict[int, int],
+    latest: dict[int, int],
+    reset: str = "latest",
+) -> dict[int, int]:
+    """Where each partition of a topic starts, from what was committed and what the topic still has.
+
+    Without commits all partitions start at ``reset``: ``earliest`` or ``latest``. With them, only a
+    partition whose commit has expired moves up to its earliest message; one that was added since
+    starts there too. A commit beyond the end, as after a topic was made anew, starts at the earliest.
+    """
+    if reset not in ("earliest", "latest"):
+        raise ValueError("reset is earliest or latest")
+    if earliest.keys() != latest.keys():
+        raise ValueError("earliest and latest offsets are of other partitions")
+    if committed is None:
+        return dict(earliest if reset == "earliest" else latest)
+    found = {}
+    for partition, first in earliest.items():
+        offset = committed.get(partition, first)
+        found[partition] = offset if first <= offset <= latest[partition] else first
+    return found
+
+
 def kafka_options(
     servers: str,
     topic: str,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,7 +17,7 @@ from footfall.config import TrafficConfig
 from footfall.functions.parse import minute_text
 from footfall.operators import campaigns as campaign_ops
 from footfall.operators import goods as goods_ops
-from footfall.operators.filters import goods_hits, main_site_hits
+from footfall.operators.filters import goods_hits, main_site_hits, not_bot
 from footfall.operators.metrics import (
     merge_partials,
     partials,
@@ -25,11 +25,13 @@ from footfall.operators.metrics import (
     totals,
     visitor,
 )
+from footfall.operators.records import REASONS, with_reason
 from footfall.operators.running import running_from_partials
-from footfall.operators.topn import click_keys, sliding_click_counts, top_items
+from footfall.operators.topn import click_keys, pane_counts, top_items, windows_of_panes
 from footfall.sinks import (
     fold_batches,
     mark_folded,
+    read_batches,
     read_folded,
     replace_day,
     write_batch,
@@ -277,9 +279,7 @@ def read_goods_state(spark: SparkSession, path: str, version: str = NUMBERED) ->
 # -- clicks -----------------------------------------------------------------
 
 
-TOPN_SCHEMA = (
-    "window_start timestamp, window_end timestamp, category string, item string, click_count bigint, day date"
-)
+PANE_SCHEMA = "category string, item string, first bigint, last bigint, n bigint, day date"
 
 
 def stream_topn_sliding(
@@ -291,29 +291,82 @@ def stream_topn_sliding(
     every: str | None = None,
     fold_every: int = 64,
 ) -> StreamingQuery:
-    """Item counts in sliding windows; a batch writes the counts of its own clicks.
+    """Item counts for sliding windows; a batch writes the counts of its own clicks, pane by pane.
 
-    Counts add up, so a click is never too late and a batch reads no other.
+    Counts add up, so a click is never too late and a batch reads no other. Readers make the windows.
     """
     mark_folded(lines.sparkSession, path, -1)
+    day = F.to_date(F.timestamp_micros("last")).alias("day")
 
     def fold(rows: DataFrame) -> DataFrame:
-        keys = ("window_start", "window_end", "category", "item", "day")
-        return rows.groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
+        return rows.groupBy("category", "item", "first", "last", "day").agg(F.sum("n").alias("n"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        counts = sliding_click_counts(batch, length, slide)
-        write_batch(counts.withColumn("day", F.to_date("window_start")), path, batch_id, ["day"])
+        counts = pane_counts(batch.filter(F.col("ts").isNotNull()), length, slide)
+        write_batch(counts.select("*", day), path, batch_id, ["day"])
         if (batch_id + 1) % fold_every == 0:
-            fold_batches(batch.sparkSession, path, batch_id, fold_every, TOPN_SCHEMA, fold, ["day"])
+            fold_batches(batch.sparkSession, path, batch_id, fold_every, PANE_SCHEMA, fold, ["day"])
 
     return start(click_keys(lines), write, checkpoint, every=every)
 
 
-def read_topn_sliding(spark: SparkSession, path: str, n: int = 3, day: str | None = None) -> DataFrame:
-    """The top items of each window, or of the windows that begin on ``day``, over all clicks so far."""
-    rows = read_folded(spark, path, TOPN_SCHEMA)
-    rows = rows if day is None else rows.filter(F.col("day") == F.lit(day).cast("date"))
-    keys = ("window_start", "window_end", "category", "item")
-    counts = rows.groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
+def read_topn_sliding(
+    spark: SparkSession,
+    path: str,
+    n: int = 3,
+    day: str | None = None,
+    length: str = "60 seconds",
+    slide: str = "20 seconds",
+) -> DataFrame:
+    """The top items of each window, or of the windows that begin on ``day``, over all clicks so far.
+
+    ``length`` and ``slide`` are those of the stream. For a day, the folders from it to the end of its last window are read.
+    """
+    rows = read_folded(spark, path, PANE_SCHEMA)
+    wanted = None if day is None else F.lit(day).cast("date")
+    if wanted is not None:
+        last = F.to_date(F.timestamp_add("day", F.lit(1), wanted.cast("timestamp")) + F.expr(f"interval {length}"))
+        rows = rows.filter(F.col("day").between(wanted, last))
+    panes = rows.groupBy("category", "item", "first", "last").agg(F.sum("n").alias("n"))
+    counts = windows_of_panes(panes, length, slide)
+    counts = counts if wanted is None else counts.filter(F.to_date("window_start") == wanted)
     return top_items(counts, n, ("window_start", "window_end"))
+
+
+# -- audit ------------------------------------------------------------------
+
+
+AUDIT = ("lines", "kept", "bot", *REASONS)
+
+
+def stream_audit(
+    lines: DataFrame, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """The rejected lines of a stream with their reasons, and how many lines each batch had, kept and rejected.
+
+    The counts are observed while the rejects are written, so a batch is scanned once. Kept lines are not
+    written; bots are counted before lines that cannot be parsed.
+    """
+    bot = F.when(not_bot(F.col("line")), F.lit(None)).otherwise("bot")
+    marked = with_reason(lines).withColumn("reason", F.coalesce(bot, F.col("reason")))
+    rejected = [F.count_if(F.col("reason") == name).alias(name) for name in AUDIT[2:]]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, seen = batch.sparkSession, Observation()
+        kept = F.count_if(F.col("reason").isNull()).alias("kept")
+        observed = batch.observe(seen, F.count(F.lit(1)).alias("lines"), kept, *rejected)
+        write_batch(observed.filter(F.col("reason").isNotNull()), f"{path}/rejects", batch_id, ["reason"])
+        counts = spark.range(1).select(*[F.lit(seen.get[name]).cast("bigint").alias(name) for name in AUDIT])
+        write_batch(counts.coalesce(1), f"{path}/counts", batch_id)
+
+    return start(marked, write, checkpoint, every=every)
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """``batch_id`` and the counts of each batch."""
+    return read_batches(spark, f"{path}/counts", schema=", ".join(f"{name} bigint" for name in AUDIT))
+
+
+def read_rejects(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rejected lines, of the stream's ``schema``, with ``reason`` and ``batch_id``."""
+    return read_batches(spark, f"{path}/rejects", schema=f"{schema}, reason string")
