@@ -1,24 +1,23 @@
 """Repeated substrings across whole texts, by longest-previous-factor arrays over suffix order.
 
-Texts are UTF-8 bytes; matches never cross documents. A start is repeated when the
-string of ``min_bytes`` bytes there also starts elsewhere. Only such matches count, so
-suffixes are ordered by a fingerprint of their first ``min_bytes`` bytes, then by
-position: in that order the nearest smaller position before a suffix is an earlier match (its
-longest previous factor reaches ``min_bytes``), the nearest greater one a later match.
-Earlier matches alone give the later copies, for removal that keeps the first;
-both give all copies.
-
-A suffix order over all texts does not fit into one task, so it is dealt out by content.
+Texts are UTF-8 bytes; matches never cross documents. A window (a start with ``min_bytes`` bytes behind it) is
+repeated when its longest previous factor, the longest string there that also starts
+earlier, reaches ``min_bytes``, or when it is the source of such a later one. Earlier matches alone give the later
+copies, for removal that keeps the first; both give all copies.
+
+One suffix order over all texts would be one global sort, so it is dealt out by content.
 The least hash of ``GRAM``-byte strings within a window (its anchor) is the same wherever the window occurs,
 hence equal windows meet under one anchor. Consecutive windows with one anchor form a piece:
 
 1. anchors are counted; those that occur once in all documents are done with;
-2. the pieces of the others are counted; a piece that occurs again is repeated as a whole;
-3. among the differing pieces of an anchor (edges of repeated passages), the
-   order above finds the repeated windows, anchors dealt out in batches of bounded size;
-   an anchor with more than ``HOT_PIECES`` pieces is ordered by single windows instead;
+2. the pieces of the others are counted, equal rows as one; a piece that occurs again is repeated as a whole;
+3. the differing pieces of an anchor (edges of repeated passages) are dealt out in batches of
+   bounded size. A batch sorts the suffixes of their bytes by prefix doubling, up to ``min_bytes``; in that order
+   the nearest neighbours of a window with smaller positions give its longest previous factor;
+   an anchor with more than ``HOT_PIECES`` pieces is settled by counting 64-bit prints of single windows instead;
 4. each document gets its repeated pieces, and loses the bytes that they cover.
 
+An empty table gives an empty one. A very long text is cut into chunks of ``CHUNK`` windows.
 Null and empty texts have no bytes and lose none. Repeated rows are documents of their own:
 each is a copy of the other (with ``keep_first`` both count as the first). Null ids are carried
 through. Other columns are kept by ``without_repeats`` and left out of the report.
@@ -39,7 +38,7 @@ MIN_BYTES = 200
 GRAM = 32
 #: Windows of a text worked on at a time.
 CHUNK = 1 << 22
-PIECES_IN_BATCH = 1 << 13
+PIECES_IN_BATCH = 1 << 12
 HOT_PIECES = 50_000
 
 _PLACE_BITS = np.uint64(24)
@@ -206,18 +205,104 @@ def _contents(docs: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFrame:
     )
 
 
-def repeated_windows(order: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each window, whether an earlier and whether a later one has the same fingerprint.
+def _dense(keys: np.ndarray) -> np.ndarray:
+    """The rank of each key among the distinct ones."""
+    order = np.argsort(keys)
+    sorted_ = keys[order]
+    ranks = np.empty(len(keys), np.uint64)
+    ranks[order] = np.append(np.zeros(min(1, len(keys)), bool), sorted_[1:] != sorted_[:-1]).cumsum()
+    return ranks
+
+
+class SuffixOrder:
+    """Ranks of all suffixes of some bytes by their first 8, 16, 32 ... bytes, at most ``depth``."""
+
+    def __init__(self, raw: np.ndarray, depth: int):
+        self.raw, self.depth = np.concatenate([raw, np.zeros(depth, np.uint8)]), depth
+        word = np.zeros(len(raw), np.uint64)
+        for k in range(8):
+            word = word << np.uint64(8) | self.raw[k : k + len(raw)]
+        self.levels = [(8, _dense(word))]
+        while 2 * self.levels[-1][0] <= depth:
+            length, ranks = self.levels[-1]
+            self.levels.append((2 * length, self._doubled(ranks, length)))
+
+    def _doubled(self, ranks: np.ndarray, shift: int) -> np.ndarray:
+        """Ranks by twice as many bytes."""
+        if len(ranks) >= 1 << 21:
+            return _dense(self._pair(ranks, shift))
+        # both ranks and the place fit into one number, so a plain sort orders the places
+        bits, place = np.uint64(21), np.arange(len(ranks), dtype=np.uint64)
+        keys = ranks << bits
+        keys[: max(0, len(ranks) - shift)] |= ranks[shift:]
+        keys = np.sort(keys << bits | place)
+        place, keys = (keys & np.uint64((1 << 21) - 1)).astype(np.int64), keys >> bits
+        doubled = np.empty(len(ranks), np.uint64)
+        doubled[place] = np.append(np.zeros(min(1, len(keys)), bool), keys[1:] != keys[:-1]).cumsum()
+        return doubled
+
+    @staticmethod
+    def _pair(ranks: np.ndarray, shift: int) -> np.ndarray:
+        behind = np.zeros(len(ranks), np.uint64)
+        behind[: max(0, len(ranks) - shift)] = ranks[shift:]
+        return ranks << np.uint64(32) | behind
+
+    def sorted(self, windows: np.ndarray) -> np.ndarray:
+        """Numbers of the ``windows`` in the order of their first ``depth`` bytes, equal ones by position."""
+        length, ranks = self.levels[-1]
+        return np.argsort(self._pair(ranks, self.depth - length)[windows], kind="stable")
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The longest common prefix of pairs of suffixes, ``depth`` at most."""
+        found = np.zeros(len(a), np.int64)
+        for length, ranks in reversed(self.levels):
+            padded = np.concatenate([ranks, np.zeros(self.depth, np.uint64)])
+            fits = found + length <= self.depth
+            found += length * (fits & (padded[a + found] == padded[b + found]))
+        same = np.ones(len(a), bool)
+        for _ in range(7):
+            same &= (found < self.depth) & (self.raw[np.minimum(a + found, len(self.raw) - 1)] == self.raw[np.minimum(b + found, len(self.raw) - 1)])
+            found += same
+        return found
+
+
+def previous_smaller(values: np.ndarray) -> np.ndarray:
+    """For each place, the nearest place before it with a smaller value, -1 if there is none.
+
+    All places jump at once: whatever lies between a place and its candidate is greater than its value, so from a
+    candidate that is greater too it may go on to the candidate's own.
+    """
+    found = np.arange(-1, len(values) - 1)
+    active = np.arange(len(values))
+    while len(active := active[(found[active] >= 0) & (values[found[active]] > values[active])]):
+        found[active] = found[found[active]]
+    return found
+
+
+def longest_previous_factors(raw: np.ndarray, windows: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the rising ``windows``, its longest previous factor and the number of the window where that starts.
 
-    ``order``: positions of the windows in the text order; ``keys``: fingerprints of their first
-    ``min_bytes`` bytes. In suffix order equal windows are neighbours with rising positions, so
-    the previous smaller position is the entry before, the next greater one the entry after.
+    Factors are compared up to ``depth`` bytes; there are so many behind each window. -1 is the source of none.
     """
-    suffixes = np.lexsort((order, keys))
-    same = keys[suffixes][1:] == keys[suffixes][:-1]
-    earlier, later = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
-    earlier[suffixes[1:]] = same
-    later[suffixes[:-1]] = same
+    suffixes = SuffixOrder(raw, depth)
+    order = suffixes.sorted(windows)
+    best, source = np.zeros(len(windows), np.int64), np.full(len(windows), -1)
+    places = previous_smaller(order), len(order) - 1 - previous_smaller(order[::-1])[::-1]
+    for near in places:
+        has = np.flatnonzero((near >= 0) & (near < len(order)))
+        own, other = order[has], order[near[has]]
+        common = suffixes.common(windows[own], windows[other])
+        longer = common > best[own]
+        best[own[longer]], source[own[longer]] = common[longer], other[longer]
+    return best, source
+
+
+def repeated_windows(raw: np.ndarray, windows: np.ndarray, min_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the rising ``windows``, whether it also occurs earlier and whether it does later."""
+    factors, source = longest_previous_factors(raw, windows, min_bytes)
+    earlier = factors >= min_bytes
+    later = np.zeros(len(windows), bool)
+    later[source[earlier]] = True
     return earlier, later
 
 
@@ -229,9 +314,13 @@ def _window_prints(content: bytes, anchor: int, min_bytes: int) -> np.ndarray:
 def _ordered_batch(min_bytes: int):
     def marks(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["row", "start"], kind="stable")
-        keys = [_window_prints(c, a, min_bytes) for c, a in zip(rows.content, rows.anchor)]
-        earlier, later = repeated_windows(np.arange(sum(map(len, keys))), np.concatenate(keys))
-        cuts = np.cumsum([len(k) for k in keys])[:-1]
+        sizes = np.array([len(content) for content in rows.content])
+        runs = sizes - min_bytes + 1
+        begins = sizes.cumsum() - sizes
+        windows = np.repeat(begins - (runs.cumsum() - runs), runs) + np.arange(runs.sum())
+        raw = np.frombuffer(b"".join(rows.content), np.uint8)
+        earlier, later = repeated_windows(raw, windows, min_bytes)
+        cuts = runs.cumsum()[:-1]
         return pd.DataFrame(
             {
                 "anchor": rows.anchor.to_numpy(),
@@ -299,7 +388,7 @@ def _marks(docs: DataFrame, live: DataFrame, min_bytes: int) -> DataFrame:
     """``anchor, piece, n, row1, start1, earlier, later`` for each distinct piece of live anchors."""
     groups = stored(
         live.groupBy("anchor", "piece").agg(
-            F.sum(F.size("starts")).alias("n"),
+            F.sum(F.size("starts") * F.col("copies")).alias("n"),
             F.min("row").alias("row1"),
             F.min_by(F.col("starts")[0], "row").cast("bigint").alias("start1"),
             F.min("run").alias("run"),
@@ -328,7 +417,9 @@ def _marks(docs: DataFrame, live: DataFrame, min_bytes: int) -> DataFrame:
 def repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, keep_first: bool = True) -> DataFrame:
     """``row, found`` for documents with repeated windows: runs, their starts and the windows marked."""
     again = _anchor_counts(docs, min_bytes).groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
-    live = stored(_live_pieces(docs, bitmap(again, "anchor"), min_bytes))
+    # rows that are repeated whole have the same pieces: they are one row with a count
+    live = _live_pieces(docs, bitmap(again, "anchor"), min_bytes).groupBy("row", "anchor", "piece", "run", "starts")
+    live = stored(live.agg(F.count(F.lit(1)).alias("copies")))
     marks = stored(_marks(docs, live, min_bytes).where("n > 1 or earlier is not null"))
     joined = live.join(marks.drop("run"), ["anchor", "piece"])
     first = (F.col("row") == F.col("row1")).alias("first")

@@ -167,3 +167,44 @@ def test_first_copy_stays(spark):
 
 def test_repeats_of_no_rows(no_docs):
     assert S.repeat_report(no_docs).collect() == []
+
+
+def naive_factors(raw, windows, depth):
+    result = []
+    for j, at in enumerate(windows):
+        best = 0
+        for other in windows[:j]:
+            n = 0
+            while n < depth and raw[at + n] == raw[other + n]:
+                n += 1
+            best = max(best, n)
+        result.append(best)
+    return result
+
+
+def test_longest_previous_factors_equal_naive_ones():
+    rng = np.random.default_rng(4)
+    for letters, depth in ((2, 40), (3, 33), (1, 64), (200, 50), (2, 200)):
+        raw = rng.integers(0, letters, 420).astype(np.uint8)
+        raw[230:310] = raw[20:100]
+        windows = np.flatnonzero(rng.random(len(raw) - depth) < 0.6)
+        factors, source = S.longest_previous_factors(raw, windows, depth)
+        assert factors.tolist() == naive_factors(raw, windows.tolist(), depth)
+        for j in np.flatnonzero(factors).tolist():
+            a, b, n = windows[j], windows[source[j]], factors[j]
+            assert b < a and (raw[a : a + n] == raw[b : b + n]).all()
+
+
+def test_previous_smaller():
+    values = np.random.default_rng(8).permutation(500)
+    want = [max((j for j in range(i) if values[j] < values[i]), default=-1) for i in range(500)]
+    assert S.previous_smaller(values).tolist() == want
+
+
+def test_identical_rows_are_one_row_with_a_count(spark):
+    rows = [(1, PASSAGE)] * 300 + [(None, PASSAGE[:150])] * 3 + [(2, "x" + PASSAGE)]
+    docs = documents(spark, rows, False)
+    found = S.repeat_report(docs).collect()
+    assert Counter(tuple(r) for r in found) == brute_repeats(rows, 200)
+    sizes = S.repeats(docs).selectExpr("size(found) n").collect()
+    assert len(sizes) == 2 and max(r.n for r in sizes) < 20  # pieces of a row once, not once for each copy
