@@ -1,9 +1,12 @@
 """Chat formatting in windows of a token budget, with loss masks; DataFrame expressions only.
 
-Prefix sums of the turns' tokens choose turn-aligned windows: a window takes the turns that begin
-within its stride of half a budget. Every later window begins with the conversation's system
-turn and repeats the last turns before it, up to ``history`` tokens. Only texts of assistant turns that are new to
-the window are under the loss mask, so each target counts once.
+Prefix sums of the turns' tokens choose turn-aligned windows within ``budget``. Each conversation has a stride: half of
+the budget, less where its system turn leaves less room. The turns that end in one stride are the new turns of a
+window; where the first of them, begun in the stride before, makes them too many, it gets a window alone.
+Every later window begins with the system turn and repeats the last turns before it, at most ``history``
+tokens and no more than the budget leaves, so history is shortened first. Only a single new turn that is too long beside
+the system turn makes a window longer than the budget. Only texts of assistant turns that are new to the
+window are under the loss mask, so each target counts once.
 
 A turn is written as ``<|im_start|>role\\ntext<|im_end|>\\n``. Within roles and texts a
 backslash is doubled and ``<|`` becomes ``<\\|``, so control strings cannot be forged
@@ -11,7 +14,7 @@ and ``read_turns`` gives the texts back.
 
 Turns are ordered by turn (nulls first), ties by role and text; repeated rows are turns of
 their own. Null roles and texts count as empty; a null ``conv_id`` is one conversation. An
-empty table gives no windows. A turn longer than a window stands in it whole. Other
+empty table gives no windows. A very long turn stands in its window whole. Other
 columns are left out. Prefix sums are taken by blocks of turn numbers first, so that one
 long conversation is spread over many tasks.
 """
@@ -62,6 +65,7 @@ def _placed(turns: DataFrame) -> DataFrame:
         "role",
         "text",
         (F.col("at_") + F.col("n") - 1).alias("at"),
+        "tokens",
         (F.col("start_") + F.col("sum") - F.col("tokens")).alias("start"),
     )
 
@@ -69,14 +73,13 @@ def _placed(turns: DataFrame) -> DataFrame:
 def windows(
     conversations: DataFrame, budget: int = 1024, history: int | None = None, tokens: Column | None = None
 ) -> DataFrame:
-    """``conv_id, window, text, n_turns, n_repeated, loss_spans`` from ``conv_id, turn, role, text``.
+    """``conv_id, window, text, n_turns, n_tokens, n_repeated, loss_spans`` from ``conv_id, turn, role, text``.
 
     ``loss_spans``: ``(start, end)`` in code points of ``text``. ``tokens`` gives a turn's
-    tokens (default: an estimate from its bytes); ``history`` is a quarter of the budget by default,
-    and less than half of it, the stride.
+    tokens (default: an estimate from its bytes); ``history`` is a quarter of the budget by default. Numbers of
+    windows rise, with gaps.
     """
-    stride = max(1, budget // 2)
-    history = min(budget // 4 if history is None else history, stride - 1)
+    history = budget // 4 if history is None else history
     count = estimated_tokens(F.col("text")) if tokens is None else tokens
     turns = conversations.select(
         F.col("conv_id").cast("bigint").alias("conv_id"),
@@ -85,28 +88,84 @@ def windows(
         F.coalesce("text", F.lit("")).alias("text"),
     )
     turns = turns.withColumn("tokens", (F.coalesce(count, F.lit(0)) + OVERHEAD).cast("bigint"))
-    turns = _placed(turns).withColumn("window", F.floor(F.col("start") / stride))
+    turns = _placed(turns)
+    is_system = (F.col("at") == 0) & (F.col("role") == "system")
+    system = turns.where(is_system).select(
+        F.col("conv_id").alias("conv_"), F.col("role").alias("role_"), F.col("text").alias("text_"), F.col("tokens").alias("system")
+    )
+
+    # the tokens of the system turn are set aside; the others are numbered from it on
+    turns = turns.join(system.select("conv_", "system"), turns["conv_id"].eqNullSafe(system["conv_"]), "left")
+    reserved = F.coalesce("system", F.lit(0))
+    room = F.greatest(F.lit(budget) - reserved, F.lit(1))
+    turns = turns.select(
+        "conv_id",
+        "at",
+        "role",
+        "text",
+        "tokens",
+        is_system.alias("is_system"),
+        room.alias("room"),
+        F.least(room, F.lit(max(1, budget // 2))).alias("stride"),
+        F.when(is_system, F.lit(0)).otherwise(F.col("start") - reserved).alias("start"),
+    )
+    spoken = turns.where(~F.col("is_system"))
+    last = F.col("start") + F.col("tokens") - 1
+    spoken = spoken.withColumn("unit", F.floor(last / F.col("stride")))
+    units = spoken.groupBy("conv_id", "unit").agg(F.sum("tokens").alias("total"))
+    units = units.select(F.col("conv_id").alias("conv_"), F.col("unit").alias("unit_"), "total")
+    same = spoken["conv_id"].eqNullSafe(units["conv_"]) & (spoken["unit"] == units["unit_"])
+    begun_before = F.floor(F.col("start") / F.col("stride")) < F.col("unit")
+    behind = ~begun_before & (F.col("total") > F.col("room"))
+    spoken = spoken.join(units, same).withColumn("window", F.col("unit") * 2 + behind.cast("bigint"))
+    spoken = spoken.drop("conv_", "unit_", "unit", "total")
 
-    bounds = turns.groupBy("conv_id", "window").agg(F.min("start").alias("first"))
-    following = bounds.select(
-        F.col("conv_id").alias("conv_"), (F.col("window") - 1).alias("window_"), F.col("first")
+    bounds = spoken.groupBy("conv_id", "window").agg(
+        F.min("start").alias("first"),
+        F.sum("tokens").alias("total"),
+        F.max("room").alias("room"),
+        F.max("stride").alias("stride"),
     )
-    same = turns["conv_id"].eqNullSafe(following["conv_"]) & (turns["window"] == following["window_"])
-    repeated = (
-        turns.join(following, same)
-        .where(F.col("start") >= F.col("first") - history)
-        .where(~((F.col("at") == 0) & (F.col("role") == "system")))
-        .withColumn("window", F.col("window") + 1)
+    opening = bounds.groupBy("conv_id").agg(F.min("window").alias("window"))
+    opening = opening.select(F.col("conv_id").alias("conv_"), F.col("window").alias("window_"))
+    systems = turns.where("is_system")
+    systems = systems.join(opening, systems["conv_id"].eqNullSafe(opening["conv_"]), "left")
+    systems = systems.withColumn("window", F.coalesce("window_", F.lit(0).cast("bigint")))
+    bounds = bounds.withColumn(
+        "allowed", F.greatest(F.least(F.lit(history), F.col("room") - F.col("total")), F.lit(0))
     )
-    system = turns.where("at = 0 and role = 'system'").select(
-        F.col("conv_id").alias("conv_"), "role", "text", "at", "start"
+    # turns of these strides can be repeated: one more than the allowance spans
+    strides = F.sequence(
+        F.floor(F.greatest(F.col("first") - F.col("allowed"), F.lit(0)) / F.col("stride")),
+        F.floor(F.col("first") / F.col("stride")),
+    )
+    reaching = bounds.where("allowed > 0 and first > 0").select(
+        F.col("conv_id").alias("conv_"),
+        F.col("window").alias("window_"),
+        "first",
+        "allowed",
+        F.explode(strides).alias("place_"),
+    )
+    before = spoken.withColumn("place", F.floor(F.col("start") / F.col("stride")))
+    same = before["conv_id"].eqNullSafe(reaching["conv_"]) & (before["place"] == reaching["place_"])
+    repeated = before.join(reaching, same).where(
+        (F.col("start") >= F.col("first") - F.col("allowed")) & (F.col("start") < F.col("first"))
+    )
+    repeated = repeated.withColumn("window", F.col("window_"))
+    later = bounds.where("first > 0").select("conv_id", "window")
+    retained = later.join(system, later["conv_id"].eqNullSafe(system["conv_"])).select(
+        "conv_id",
+        "window",
+        F.lit(0).cast("bigint").alias("at"),
+        F.col("role_").alias("role"),
+        F.col("text_").alias("text"),
+        F.col("system").alias("tokens"),
     )
-    later = bounds.where("window > 0").select("conv_id", "window")
-    retained = later.join(system, later["conv_id"].eqNullSafe(system["conv_"]))
 
-    columns = ["conv_id", "window", "at", "role", "text"]
+    columns = ["conv_id", "window", "at", "role", "text", "tokens"]
     rows = (
-        turns.select(*columns, F.lit(True).alias("new"))
+        spoken.unionByName(systems.select(*spoken.columns))
+        .select(*columns, F.lit(True).alias("new"))
         .unionByName(repeated.select(*columns, F.lit(False).alias("new")))
         .unionByName(retained.select(*columns, F.lit(False).alias("new")))
     )
@@ -119,7 +178,9 @@ def windows(
         "new",
         (F.col("new") & (F.col("role") == "assistant")).alias("target"),
     )
-    grouped = rows.groupBy("conv_id", "window").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    grouped = rows.groupBy("conv_id", "window").agg(
+        F.array_sort(F.collect_list(turn)).alias("turns"), F.sum("tokens").alias("n_tokens")
+    )
     length = F.lit(len(END))
     empty = F.struct(
         F.lit(0).cast("bigint").alias("end"),
@@ -140,6 +201,7 @@ def windows(
         "window",
         F.array_join(F.transform("turns", lambda t: F.concat(t["head"], t["body"], F.lit(END))), "").alias("text"),
         F.size("turns").alias("n_turns"),
+        "n_tokens",
         F.size(F.filter("turns", lambda t: ~t["new"])).alias("n_repeated"),
         F.aggregate("turns", empty, extend, lambda state: state["spans"]).alias("loss_spans"),
     )

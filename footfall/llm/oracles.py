@@ -58,17 +58,33 @@ sized as (
 placed as (
   select *, sum(tokens) over (partition by conv_id order by pos) - tokens as start from sized
 ),
-windows as (select *, start // 512 as win from placed),
-bounds as (select conv_id, win, min(start) as first from windows group by 1, 2),
+systems as (select conv_id, tokens as system, chars as system_chars from sized where pos = 0 and role = 'system'),
+spoken as (
+  select p.*, p.start - coalesce(system, 0) as place, greatest(1024 - coalesce(system, 0), 1) as room,
+    least(greatest(1024 - coalesce(system, 0), 1), 512) as stride
+  from placed p left join systems s on s.conv_id is not distinct from p.conv_id
+  where not (pos = 0 and role = 'system')
+),
+units as (
+  select *, (place + tokens - 1) // stride as unit,
+    sum(tokens) over (partition by conv_id, (place + tokens - 1) // stride) as total
+  from spoken
+),
+windows as (
+  select *, unit * 2 + case when place // stride = unit and total > room then 1 else 0 end as win from units
+),
+bounds as (
+  select conv_id, win, min(place) as first, greatest(least(256, max(room) - sum(tokens)), 0) as allowed
+  from windows group by 1, 2
+),
 repeated as (
   select w.conv_id, chars from windows w
-  join bounds b on b.conv_id is not distinct from w.conv_id and b.win = w.win + 1
-  where start >= first - 256 and not (pos = 0 and role = 'system')
+  join bounds b on b.conv_id is not distinct from w.conv_id and place >= first - allowed and place < first
 ),
 retained as (
-  select w.conv_id, chars from windows w
-  join bounds b on b.conv_id is not distinct from w.conv_id and b.win > 0
-  where pos = 0 and role = 'system'
+  select s.conv_id, system_chars as chars from systems s
+  join bounds b on b.conv_id is not distinct from s.conv_id and b.first > 0
+  union all select conv_id, system_chars from systems
 ),
 written as (
   select conv_id, sum(chars) as formatted_chars from (
@@ -79,7 +95,7 @@ whole as (
   select conv_id, count(*) as n_turns,
     sha256(string_agg(role || chr(10) || text || chr(10), '' order by pos)) as turns_sha256,
     coalesce(string_agg(case when role = 'assistant' then text end, '' order by pos), '') as loss
-  from windows group by conv_id
+  from placed group by conv_id
 )
 select w.conv_id, n_turns, turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256,
   cast(formatted_chars as bigint) as formatted_chars

@@ -254,6 +254,34 @@ def test_chat_windows_read_back(spark, budget):
     windows.unpersist()
 
 
+@pytest.mark.parametrize("budget, history", [(1024, None), (100, None), (100, 0), (60, 59)])
+def test_chat_windows_keep_their_budget(spark, budget, history):
+    """No window exceeds it but by a single new turn, and history is shortened before that."""
+    rng = random.Random(budget)
+    turns, sizes = [], {}
+    for conv in range(60):
+        sizes[conv] = [rng.choice([4, 20, 40, 400][: 1 + conv % 4]) + rng.randrange(budget // 2 + 1) for _ in range(12)]
+        if conv == 0:
+            sizes[conv] = [400, 500, 600, 250, 475]
+        for turn, size in enumerate(sizes[conv]):
+            role = "system" if not turn and conv % 3 == 0 else ("user", "assistant")[turn % 2]
+            turns.append((conv, turn, role, "x" * 4 * max(0, size - C.OVERHEAD)))
+    frame = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    windows = C.windows(frame, budget=budget, history=history).collect()
+    shown = Counter()
+    for r in windows:
+        texts = [t.split("\n", 1) for t in r.text.split(C.START)[1:]]
+        tokens = [(len(text) - len(C.END)) // 4 + C.OVERHEAD for _, text in texts]
+        assert sum(tokens) == r.n_tokens and len(tokens) == r.n_turns
+        new = r.n_turns - r.n_repeated
+        shown[r.conv_id] += new
+        system = texts[0][0] == "system"
+        if r.n_tokens > budget:
+            assert r.n_turns - system == 1, (r.conv_id, r.window, tokens)
+        assert sum(tokens[system : r.n_repeated]) <= (budget // 4 if history is None else history)
+    assert shown == {conv: len(own) for conv, own in sizes.items()}
+
+
 def test_chat_windows_of_no_rows(spark):
     frame = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert C.digests(C.windows(frame)).collect() == []
