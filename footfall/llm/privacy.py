@@ -6,14 +6,16 @@ stands there, where it is within ``CONTEXT`` characters of it. The pointwise mut
 kind or value, as a share of the information of the kind or value itself (which it reaches when the
 term never stands elsewhere), is the term's disclosure. Counts are smoothed: each term has ``PRIOR``
 further occurrences, beside the kind or value as often as any term is, so terms seen once score
-less than those seen often, the more so the smaller the corpus, and none is left out for being rare.
+less than those seen often, and none is left out for being rare. A kind or value counts as ``INFORMATION`` bits at most;
+beyond so many terms (a million) the verdict on a term does not depend on the size of the corpus.
 Terms are cut at the edges of personal data, for all counts.
 In the neighbourhood of such data, terms from ``generalise_from`` on are replaced by a placeholder, from
 ``remove_from`` on they are removed. ``least_contexts`` (off by default) also asks for so many different contexts.
 
 Null and empty texts hold nothing. Repeated rows get equal results (each counts in the
 corpus); null ids are carried through. Overlapping spans are all reported, and replaced as one. Ties
-between spans go by start, then kind in the order email, ip, card, phone, term. Other
+between spans go by start, then kind in the order email, ip, card, phone, term. An empty table gives an empty
+one; a very long text is searched whole, in one row. Other
 columns are left out of the report and kept by ``sanitised``.
 """
 
@@ -39,8 +41,12 @@ _TERM = r"[\p{L}\p{N}](?:\S*[\p{L}\p{N}])?"
 CONTEXT = 48
 #: Occurrences added to each term, beside personal data as often as any term is.
 PRIOR = 3
-#: Documents with terms to replace are broadcast up to so many.
-BROADCAST_ROWS = 100_000
+#: Bits that a kind or value is taken to hold at most, so that thresholds mean the same in any larger corpus.
+INFORMATION = 20
+#: Terms to replace are broadcast up to so many bytes.
+BROADCAST_BYTES = 8 << 20
+#: Bytes of a term to replace, and of the row that holds those of a text.
+_TERM_BYTES, _ROW_BYTES = 32, 64
 
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
 
@@ -170,7 +176,11 @@ def disclosing_terms(
     if least_contexts > 1:
         sums.append(F.countDistinct("context").alias("contexts"))
     near = stored(terms.groupBy("term", "target").agg(*sums))
-    targets = near.groupBy("target").agg(F.sum("together").alias("n_target"))
+    # the few kinds stand beside a large part of all terms: their totals are numbers in the plan, only values are joined
+    is_kind = F.col("target").between(0, len(KINDS) - 1)
+    totals = near.groupBy("target").agg(F.sum("together").alias("n_target"))
+    of_kind = {row.target: row.n_target for row in totals.where(is_kind).collect()}
+    targets = totals.where(~is_kind)
     wanted = near.where(F.col("contexts") >= least_contexts) if least_contexts > 1 else near
     names = wanted.select(F.col("term").alias("wanted")).distinct()
     outside = blanked(F.col("text"), F.col("spans"))
@@ -182,12 +192,18 @@ def disclosing_terms(
         counts.join(names, F.col("term") == F.col("wanted"), "left").groupBy("wanted").agg(F.sum("n").alias("n"))
     )
     total = counts.agg(F.sum("n")).first()[0] or 1
+    beside_kind = F.coalesce(*[F.when(F.col("target") == kind, F.lit(n)) for kind, n in of_kind.items()], F.lit(0))
+    with_total = (
+        wanted.where(is_kind)
+        .withColumn("n_target", beside_kind.cast("bigint"))
+        .unionByName(wanted.where(~is_kind).join(targets, "target"))
+    )
     usual = F.col("n_target") / F.lit(float(total))
     share = (F.col("together") + PRIOR * usual) / (F.col("n") + PRIOR)
+    known = F.greatest(usual, F.lit(2.0**-INFORMATION))
     return (
-        wanted.join(counts, F.col("term") == F.col("wanted"))
-        .join(targets, "target")
-        .withColumn("disclosure", F.try_divide(F.log2(share / usual), -F.log2(usual)))
+        with_total.join(counts, F.col("term") == F.col("wanted"))
+        .withColumn("disclosure", F.try_divide(F.log2(share / known), -F.log2(known)))
         .where(F.col("disclosure") >= generalise_from)
         .select("term", "target", "disclosure")
     )
@@ -248,7 +264,8 @@ def sanitised(docs: DataFrame, **thresholds) -> DataFrame:
         free_name(docs, name) for name in ("_row", "_terms", "_spans", "_clean")
     )
     terms = stored(term_spans(docs, **thresholds).select(F.col("row").alias(own_row), F.col("terms").alias(own_terms)))
-    if terms.count() <= BROADCAST_ROWS:
+    size = terms.agg(F.sum(F.size(own_terms) * _TERM_BYTES + _ROW_BYTES)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
         terms = F.broadcast(terms)
     joined = docs.join(terms, F.xxhash64(docs["doc_id"], docs["text"]) == terms[own_row], "left")
     base = F.transform(
