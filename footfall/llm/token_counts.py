@@ -3,11 +3,12 @@
 Texts go through Arrow batches; only lengths come back. A text is split at safe
 boundaries: a single space between two characters that are not white space always
 starts a new piece of the byte-level pattern, so the counts of the parts add up to
-that of the text. Parts seen before are remembered, new ones are encoded in
-batches of about ``BATCH_BYTES``, so one long text takes no more memory than many
-short ones.
+that of the text. A part without such spaces is cut further where it is longer than ``LONG_PART``: between a letter or digit and
+a sign, which the pattern never joins. Short parts seen before are remembered, up to ``CACHED_BYTES``; new ones are encoded in
+batches of about ``BATCH_BYTES`` of UTF-8, so one long text takes no more memory than many
+short ones. A run of letters alone has no safe boundary and is encoded whole, however long.
 
-Null and empty texts have 0 bytes and 0 tokens; repeated rows are counted each;
+An empty table gives an empty one. Null and empty texts have 0 bytes and 0 tokens; repeated rows are counted each;
 a null id stays null; other columns are left out.
 """
 
@@ -25,9 +26,14 @@ from footfall.llm.tables import slices
 from footfall.llm.words import to_bytes
 
 BATCH_BYTES = 1 << 20
-CACHED_PARTS = 1 << 19
+CACHED_BYTES = 16 << 20
+#: Characters; longer parts are cut, and not remembered.
+LONG_PART = 256
+#: What an entry takes beside its text.
+_ENTRY_BYTES = 120
 _OTHER_SPACE = re.compile(r"[^\S ]")
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_BEFORE_SIGN = re.compile(r"(?<=[^\W_])(?=[^\w\s])")
 
 
 def safe_parts(text: str) -> list[str]:
@@ -40,15 +46,30 @@ def safe_parts(text: str) -> list[str]:
     return _SAFE_SPACE.split(text) if unsafe else text.split(" ")
 
 
+def utf8_size(text: str) -> int:
+    return len(text) if text.isascii() else len(to_bytes(text))
+
+
+def cut_long(part: str) -> list[str]:
+    """Pieces of a long part, of about ``LONG_PART`` characters where it has boundaries."""
+    pieces, start = [], 0
+    for boundary in _BEFORE_SIGN.finditer(part):
+        if boundary.start() - start >= LONG_PART:
+            pieces.append(part[start : boundary.start()])
+            start = boundary.start()
+    return [*pieces, part[start:]]
+
+
 def bounded_batches(parts: list[str], limit: int):
-    """Lists of consecutive parts of about ``limit`` characters each."""
+    """Lists of consecutive parts of about ``limit`` bytes of UTF-8 each."""
     batch, size = [], 0
     for part in parts:
-        if batch and size + len(part) > limit:
+        own = utf8_size(part)
+        if batch and size + own > limit:
             yield batch
             batch, size = [], 0
         batch.append(part)
-        size += len(part)
+        size += own
     if batch:
         yield batch
 
@@ -62,6 +83,8 @@ class PartCounter:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.after_space: dict[str, int] = {}
+        self.cached = 0
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
 
     def lengths(self, texts: list[str]) -> list[int]:
         found: list[int] = []
@@ -75,7 +98,7 @@ class PartCounter:
         size = 0
         for text in texts:
             group.append(text)
-            size += len(text)
+            size += utf8_size(text)
             if size >= BATCH_BYTES:
                 result += self._of(group)
                 group, size = [], 0
@@ -83,12 +106,27 @@ class PartCounter:
 
     def _of(self, texts: list[str]) -> list[int]:
         split = [safe_parts(text) for text in texts]
-        totals = self.lengths([parts.pop(0) for parts in split])
-        distinct = set().union(*split)
-        if len(self.after_space) > CACHED_PARTS:
-            self.after_space = {}
-        new = list(distinct.difference(self.after_space))
+        owners: list[int] = []
+        alone: list[str] = []
+        for at, parts in enumerate(split):
+            first = parts.pop(0)
+            long = [f" {part}" for part in parts if len(part) > LONG_PART]
+            if long:
+                split[at] = [part for part in parts if len(part) <= LONG_PART]
+            for part in (first, *long):
+                # a special string in the text must stay in one piece
+                whole = len(part) <= LONG_PART or any(token in part for token in self.added)
+                pieces = [part] if whole else cut_long(part)
+                alone += pieces
+                owners += [at] * len(pieces)
+        totals = [0] * len(texts)
+        for at, n in zip(owners, self.lengths(alone)):
+            totals[at] += n
+        if self.cached > CACHED_BYTES:
+            self.after_space, self.cached = {}, 0
+        new = list(set().union(*split).difference(self.after_space))
         self.after_space.update(zip(new, self.lengths([f" {part}" for part in new])))
+        self.cached += sum(_ENTRY_BYTES + len(part) for part in new)
         known = self.after_space.__getitem__
         return [total + sum(map(known, parts)) for total, parts in zip(totals, split)]
 

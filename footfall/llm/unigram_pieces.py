@@ -36,6 +36,8 @@ MARK = "▁"
 BYTE_SCORE = -1e6
 #: Parts of a text remembered by one worker.
 CACHED_PARTS = 1 << 17
+#: Characters of the parts remembered.
+CACHED_CHARACTERS = 1 << 21
 #: Characters of texts, and of parts, encoded at a time.
 BATCH_CHARACTERS = 1 << 20
 #: Longer parts are encoded one by one: few have their length, and arrays need many to pay.
@@ -320,6 +322,7 @@ class Encoder:
         self.number: dict[str, int] = {}
         self.ids = NO_IDS
         self.ends = np.zeros(1, np.int64)
+        self.characters = 0
 
     @staticmethod
     def parts(text: str) -> list[str]:
@@ -331,7 +334,7 @@ class Encoder:
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and the offsets between texts."""
         split = [self.parts(text) for text in texts]
-        if len(self.number) > CACHED_PARTS:
+        if len(self.number) > CACHED_PARTS or self.characters > CACHED_CHARACTERS:
             self._forget()
         new = list(set().union(*split).difference(self.number))
         if new:
@@ -339,12 +342,15 @@ class Encoder:
             self.number.update(zip(ordered, range(len(self.number), len(self.number) + len(new))))
             self.ids = np.concatenate([self.ids, found])
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+            self.characters += sum(map(len, new))
         counts = [len(parts) for parts in split]
         every = itertools.chain.from_iterable(split)
         used = np.fromiter(map(self.number.__getitem__, every), np.int64, sum(counts))
         starts, sizes = self.ends[used], self.ends[used + 1] - self.ends[used]
         to = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.ids[np.repeat(starts - to[:-1], sizes) + np.arange(to[-1])]
+        if self.characters > CACHED_CHARACTERS:
+            self._forget()  # long parts are not kept for the next task
         return ids, to[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
 
     def encode(self, texts: list[str]) -> list[list[int]]:

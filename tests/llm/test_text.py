@@ -91,6 +91,36 @@ def test_rare_terms_beside_one_person_are_replaced(spark, copies):
     assert "Badge77x" in P.sanitised(docs, least_contexts=5).where("doc_id = 0").first().text
 
 
+def test_disclosure_is_the_formula_and_does_not_follow_the_size_of_the_corpus(spark, monkeypatch):
+    def found(times):
+        rows = [(i, "word1 Badge77x jo@x.org by hand") for i in range(4)] + [(9, "word9 Badge77x word8 word7")]
+        rows += [(1000 * t + i, text) for t in range(times) for i, text in FILLER]
+        docs = documents(spark, rows, False)
+        terms = P.context_terms(docs)
+        near = Counter()
+        for r in terms.groupBy("term", "target").agg({"copies": "sum"}).collect():
+            near[r.term, r.target] = r["sum(copies)"]
+        words = Counter(w for _, text in rows for w in text.replace("jo@x.org", " ").lower().split())
+        beside = Counter()
+        for (_, target), n in near.items():
+            beside[target] += n
+        total = sum(words.values())
+        want = {}
+        for (term, target), n in near.items():
+            usual = beside[target] / total
+            share = (n + P.PRIOR * usual) / (words[term] + P.PRIOR)
+            known = max(usual, 2.0**-P.INFORMATION)
+            want[term, target] = np.log2(share / known) / -np.log2(known)
+        got = {(r.term, r.target): r.disclosure for r in P.disclosing_terms(docs, terms, 1, -100.0).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+        return got
+
+    found(1)
+    monkeypatch.setattr(P, "INFORMATION", 2)
+    few, many = found(2), found(20)
+    assert all(abs(few[key] - many[key]) < 0.02 for key in few if key[0] == "badge77x")
+
+
 def test_terms_beside_one_value_are_replaced(spark):
     rows = [(i, "word1 smithson jo@x.org by hand") for i in range(3)]
     rows += [(i, "word1 smithson by hand word2") for i in range(3, 6)]
@@ -139,6 +169,22 @@ def test_token_counts_equal_the_library(spark, docs, no_docs):
     assert T.token_counts(no_docs).collect() == []
 
 
+def test_long_parts_without_spaces_count_alike(monkeypatch):
+    counter = T.PartCounter(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(12)
+    alphabet = ["abc", "é漢字", "7", "42", "。", "-", "'s", "'", "_", "²", "\u0301", "/", "x1", "😀", "ʼ", "<|endoftext|>"]
+    texts = ["".join(rng.choice(alphabet[: 15 + i % 2]) for _ in range(rng.randrange(1200))) for i in range(120)]
+    texts += [" ".join(texts[:5]), "字" * 20_000, "https://x.org/a?b=c&" * 4000]
+    want = [len(counter.tokenizer.encode(text, add_special_tokens=False)) for text in texts]
+    assert max(len(T.cut_long(text)) for text in texts) > 100
+    assert counter.counts(texts) == want
+    assert not [part for part in counter.after_space if len(part) > T.LONG_PART]
+    monkeypatch.setattr(T, "CACHED_BYTES", 1000)
+    assert counter.counts(texts) == want
+    batches = list(T.bounded_batches(["字" * 100] * 50, 900))
+    assert max(sum(len(p.encode()) for p in b) for b in batches) <= 900
+
+
 @pytest.fixture(scope="module")
 def pieces():
     return U.load(public_tokenizers.path("piece_bpe_32k.model"))
