@@ -13,7 +13,8 @@ shuffle; it grows with neither table, and the join is exact.
 Words are what lies between ASCII white space, with A-Z in lower case. Null and empty
 texts, of documents or items, overlap with nothing. Repeated rows give equal results,
 once for each ``doc_id``; a null ``doc_id`` or ``item_id`` is carried through. Other
-columns are left out of the report and kept by ``clean_documents``.
+columns are left out of the report and kept by ``clean_documents``. An empty table of documents gives an empty one,
+without items nothing overlaps. A very long text is searched whole, in one row.
 """
 
 from __future__ import annotations

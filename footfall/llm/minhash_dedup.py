@@ -19,7 +19,8 @@ Null and empty texts, and those of white space, have an empty set: they are link
 nothing and are kept. A row with a null id takes no part (``component_id`` null,
 kept). Rows are documents: repeated rows get the same component, and a repeated id with
 another text gets that of its text. Rows that share the smallest id of their component all stay,
-so identical rows do. Other columns are left out.
+so identical rows do. An empty table gives an empty one. A very long text is one set, however large; its signature is
+taken in steps of bounded size. Other columns are left out, and kept by ``one_of_each``.
 """
 
 from __future__ import annotations

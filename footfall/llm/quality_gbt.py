@@ -9,7 +9,9 @@ level with array indexing.
 Only the text is an input of the score. Null texts count as empty; empty texts get
 the score of their statistics (all zero). Repeated rows get equal scores. Rows
 without a label, or with a null label, are not used for training. Without a training
-row every score is 0.5; with one class only, the smoothed share of that class.
+row every score is 0.5; with one class only, the smoothed share of that class. An empty
+table gives no scores. A very long text is measured whole, in one row; other columns are left out of
+the report and kept by ``good_documents``.
 """
 
 from __future__ import annotations

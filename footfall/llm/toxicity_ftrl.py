@@ -8,7 +8,8 @@ bounded sample of labelled rows (``TRAINING_ROWS``) in one task.
 
 Only the text is an input of the score. Null texts count as empty; an empty text
 gets the score of the bias alone. Repeated rows get equal scores. Rows without a
-label, or with a null label, are not learned from. Without any, all scores are 0.5.
+label, or with a null label, are not learned from. Without any, all scores are 0.5. An empty table
+gives no scores. A very long text is hashed whole, in one row; other columns are left out.
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """SentencePiece encoding and decoding: unigram Viterbi over a double-array trie of pieces.
 
-The pieces and their log scores come from a public model file. A text gets a
+The pieces and their scores come from a public model file (of a BPE model, whose scores are ranks: tokenizers are not trained here). A text gets a
 white-space marker in front, and one in place of each space; among all ways to cut it into pieces the one
 with the greatest sum of scores is taken (of equal ones, that whose last differing piece is
 longest). Characters that no piece covers are cut into byte pieces. Decoding
@@ -12,7 +12,8 @@ each marker that follows another character, and the parts are independent. Parts
 encoded together, step by step as arrays, and remembered within bounds.
 
 Null and empty texts have no pieces and decode to the empty text. Repeated rows get equal
-results; null ids are carried through; other columns are left out of the report and kept by ``with_pieces``.
+results; null ids are carried through; other columns are left out of the report and kept by ``with_pieces``. An empty table
+gives an empty one. A very long text without spaces is one part, as long as it is.
 """
 
 from __future__ import annotations
