@@ -2,6 +2,11 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a frame; all but the last return
 the columns of ``docs``. What a stage keeps is written to the shared folder and read again.
+
+The stages take the rows that their operators take: null and empty texts pass all of them (the quality
+stage judges an empty text by its statistics) and have no pieces; rows with a null id pass, near copies among them too, and
+rows that repeat one id and text pass or go together. An empty table gives an empty one. Very long texts are worked on
+whole. Further columns are kept up to the last stage, whatever their names.
 """
 
 from __future__ import annotations

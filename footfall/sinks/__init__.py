@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.operators.metrics import METRICS
-from footfall.sinks.versions import KeyedTable, _children
+from footfall.sinks.versions import KeyedTable, _children, _remove
 
 SNAPSHOT_KEYS = ("date", "ws", "minute")
 ACTIVITY_KEYS = ("date", "code")
@@ -79,6 +79,22 @@ def fold_batches(
     mark_folded(spark, path, upto)
 
 
+def drop_folded(spark: SparkSession, path: str) -> list[int]:
+    """Remove the single batches that a folded one holds; returns their numbers.
+
+    Those behind a day that was counted anew stay, as its readers take them one by one. Run it when no reader
+    planned before the last fold is still at work.
+    """
+    marks = spark.read.schema(MARKS).parquet(f"{path}/_marks").groupBy(F.col("run").isNotNull().alias("refit"))
+    found = {row.refit: row for row in marks.agg(F.max("upto").alias("last"), F.min("upto").alias("first")).collect()}
+    upto = min(found[False].last, found[True].first if True in found else found[False].last)
+    numbers = [int(n.removeprefix("batch_id=")) for n in _children(spark, path) if n.startswith("batch_id=")]
+    gone = sorted(n for n in numbers if n <= upto)
+    for number in gone:
+        _remove(spark, f"{path}/batch_id={number}")
+    return gone
+
+
 #: What the log of marks says: batches folded up to one, or a ``date`` counted anew by a ``run``.
 MARKS = "upto bigint, date string, run string, version bigint"
 

@@ -21,11 +21,13 @@ def plan(df):
     return out.getvalue()
 
 
-BATCH = [n for n in sorted(QUERIES) if not n.startswith(("stream_", "sink_", "scan_"))]
+BATCH = [n for n in sorted(QUERIES) if not n.startswith(("stream_", "sink_", "scan_", "refit_"))]
+#: What these aggregate besides numbers is small: titles, a mark for each site, stored bitmaps.
+SMALL_TEXT = ("campaign_codes", "hwm_snapshot_across_days", "uv_rollup")
 
 
 @pytest.mark.parametrize("name", BATCH)
-def test_no_cross_joins_no_python_and_no_spreading_by_size(spark, name):
+def test_no_cross_joins_no_python_no_spreading_by_size_and_hash_aggregates(spark, name):
     text = plan(QUERIES[name](spark, SF))
     for word in (
         "CartesianProduct",
@@ -33,6 +35,7 @@ def test_no_cross_joins_no_python_and_no_spreading_by_size(spark, name):
         "BatchEvalPython",
         "ArrowEvalPython",
         "RoundRobinPartitioning",
+        *(() if name in SMALL_TEXT else ("SortAggregate",)),
     ):
         assert word not in text
 

@@ -78,14 +78,56 @@ def test_folded_batches_read_as_the_single_ones(spark, tmp_path):
 
 
 def test_a_batch_reads_no_other(spark, tmp_path):
-    """What a micro-batch takes as input does not grow with the number of batches."""
+    """A micro-batch reads its own lines and nothing that earlier ones wrote: they are taken away."""
+    import shutil
+
     feed, out = Feed(spark, tmp_path), f"{tmp_path}/out"
-    for i in range(6):
+    jobs = {
+        "snapshot": (streaming.stream_snapshot, "batch_id="),
+        "uv": (streaming.stream_uv, "batch_id="),
+        "daily": (streaming.stream_pvuv_by_day, "batch_id="),
+    }
+    for i in range(4):
         feed.add(*[hit(i, f"c{i}x{k}") for k in range(5)])
-    query = streaming.stream_snapshot(feed.stream(), CONFIG, out, f"{tmp_path}/cp", fold_every=100)
-    query.awaitTermination()
-    rows = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
-    assert len(rows) == 6 and len(set(rows)) == 1
+        for name, (job, folder) in jobs.items():
+            query = job(feed.stream(), CONFIG, f"{out}/{name}", f"{tmp_path}/cp/{name}", fold_every=100)
+            query.awaitTermination()
+            assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [5]
+            rows = spark.read.parquet(f"{out}/{name}/{folder}{i}")
+            assert rows.count() == (5 if name == "uv" else 6 if name == "snapshot" else 5)
+            shutil.rmtree(f"{out}/{name}/{folder}{i}")
+
+
+def test_snapshots_read_the_state_before_and_no_older_batch(spark, tmp_path):
+    import shutil
+
+    feed, out = Feed(spark, tmp_path), f"{tmp_path}/out"
+    for i in range(5):
+        feed.add(*[hit(6 * i + k, f"c{i}x{k}") for k in range(5)])
+        stream = feed.stream().withColumn("arrival", F.col("event_id"))
+        streaming.stream_site_snapshots(stream, CONFIG, out, f"{tmp_path}/cp").awaitTermination()
+        last = spark.read.parquet(f"{out}/snapshots/batch_id={i}").agg(F.max("pv"), F.max("uv")).first()
+        assert tuple(last) == (5 * i + 5, 5 * i + 5)
+        if i:
+            for folder in ("state", "snapshots"):
+                shutil.rmtree(f"{out}/{folder}/batch_id={i - 1}")
+
+
+def test_single_batches_that_were_folded_can_be_dropped(spark, tmp_path):
+    feed, out, checkpoint = Feed(spark, tmp_path), f"{tmp_path}/out", f"{tmp_path}/cp"
+
+    def run(texts):
+        feed.add(*texts)
+        streaming.stream_pvuv_by_day(feed.stream(), CONFIG, out, checkpoint, fold_every=2).awaitTermination()
+
+    for texts in BATCHES:
+        run(texts)
+    assert sinks.drop_folded(spark, out) == [0, 1]
+    assert tuples(streaming.read_pvuv_by_day(spark, out), "date", *M.METRICS) == daily_of(feed)
+    run(BATCHES[1])
+    assert sinks.drop_folded(spark, out) == [2, 3] and sinks.drop_folded(spark, out) == []
+    run(BATCHES[0])
+    assert tuples(streaming.read_pvuv_by_day(spark, out), "date", *M.METRICS) == daily_of(feed)
 
 
 def test_uv_and_snapshot_over_batches_with_late_hits(spark, tmp_path):
