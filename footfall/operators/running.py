@@ -147,6 +147,11 @@ def _arrival(rows: DataFrame, order: Sequence[str]) -> Column:
     return F.struct(*order)
 
 
+def arrival_order(rows: DataFrame, order: Sequence[str]) -> Column:
+    """The order of arrival as one value, as triggers have it in ``first``."""
+    return _arrival(rows, order)
+
+
 def arrival_triggers(
     hits: DataFrame, dims: Sequence[str], order: Sequence[str], across_days: bool = False
 ) -> DataFrame:
@@ -154,15 +159,44 @@ def arrival_triggers(
     return _triggers(hits, dims, _arrival(hits, order), across_days)
 
 
+#: How many triggers a row is joined with at a time.
+RUN = 32
+
+
+def _trigger_runs(triggers: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """``dims, run, last, triggers``: the triggers in arrays of ``RUN``, numbered from the first, with the last arrival of each."""
+    place = F.row_number().over(Window.partitionBy(*dims).orderBy("first"))
+    numbered = triggers.withColumn("run", F.floor((place - 1) / RUN).cast("int"))
+    return numbered.groupBy(*dims, "run").agg(
+        F.max("first").alias("last"), F.sort_array(F.collect_list(F.struct("first", "minute"))).alias("triggers")
+    )
+
+
+def _in_runs(hits: DataFrame, runs: DataFrame, dims: Sequence[str], order: Column, how: str) -> DataFrame:
+    """``hits`` with the ``minute`` of the first trigger that is not before their ``order``, else NULL.
+
+    A row goes through the joins with two short arrays, the ends of the runs and then one run, and never with
+    all triggers of its group, which would be copied for each row.
+    """
+    ends = runs.groupBy(*dims).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("last").alias("first"), "run"))).alias("_ends")
+    )
+    # the search is interpreted, so the order is a column that it reads
+    placed = lookup_join(hits.withColumn("_order", order), ends, dims, how)
+    placed = placed.withColumn("run", _next_trigger(F.col("_ends"), F.col("_order"))["run"]).drop("_ends")
+    found = lookup_join(placed, runs.drop("last"), [*dims, "run"], how)
+    minute = _next_trigger(F.col("triggers"), F.col("_order"))["minute"]
+    return found.withColumn("minute", minute).drop("triggers", "run", "_order")
+
+
 def at_next_trigger(
-    hits: DataFrame, triggers: DataFrame, dims: Sequence[str], order: Sequence[str], how: str = "inner"
+    hits: DataFrame, triggers: DataFrame, dims: Sequence[str], order: Column, how: str = "inner"
 ) -> DataFrame:
-    """Hits with the ``minute`` of the first trigger that does not come before them, else NULL."""
-    arrays = triggers.groupBy(*dims).agg(
-        F.sort_array(F.collect_list(F.struct("first", "minute"))).alias("triggers")
-    )
-    found = _next_trigger(F.col("triggers"), _arrival(hits, order))["minute"]
-    return lookup_join(hits, arrays, dims, how).withColumn("minute", found).drop("triggers")
+    """Hits with the ``minute`` of the first trigger that does not come before their ``order``.
+
+    Hits after the last trigger have NULL with ``how="left"``, and are left out otherwise.
+    """
+    return _in_runs(hits, _trigger_runs(triggers, dims), dims, order, how)
 
 
 def hwm_snapshot(
@@ -189,15 +223,8 @@ def hwm_snapshot(
         return _shared_snapshots(hits, dims, order, un_policy, hits if marks is None else marks, mark_dims)
     arrival = _arrival(hits, order)
     triggers = _triggers(hits, dims, arrival, across_days)
-    arrays = _stored(
-        triggers.groupBy(*dims).agg(
-            F.sort_array(F.collect_list(F.struct("first", "minute"))).alias("triggers")
-        )
-    )
-    assigned = lookup_join(hits, arrays, dims, "inner").withColumn(
-        "minute", _next_trigger(F.col("triggers"), arrival)["minute"]
-    )
-    counted = assigned.drop("triggers").filter(F.col("minute").isNotNull())
+    runs = _stored(_trigger_runs(triggers, dims))
+    counted = _in_runs(hits, runs, dims, arrival, "inner").filter(F.col("minute").isNotNull())
     snapshots = running_metrics(counted, dims, un_policy)
     if not across_days:
         earlier = Window.partitionBy(*dims).orderBy("minute")
@@ -219,18 +246,14 @@ def _shared_snapshots(
 ) -> DataFrame:
     """A snapshot of each ``dims`` group whenever the mark of its ``mark_dims`` group rises."""
     triggers = _triggers(marks, mark_dims, _arrival(marks, order), False)
-    arrays = _stored(
-        triggers.groupBy(*mark_dims).agg(
-            F.sort_array(F.collect_list(F.struct("first", "minute"))).alias("triggers")
-        )
-    )
-    assigned = lookup_join(hits, arrays, mark_dims, "inner").withColumn(
-        "minute", _next_trigger(F.col("triggers"), _arrival(hits, order))["minute"]
-    )
-    changed = running_metrics(assigned.drop("triggers").filter(F.col("minute").isNotNull()), dims, un_policy)
+    runs = _stored(_trigger_runs(triggers, mark_dims))
+    assigned = _in_runs(hits, runs, mark_dims, _arrival(hits, order), "inner")
+    changed = running_metrics(assigned.filter(F.col("minute").isNotNull()), dims, un_policy)
     groups = changed.groupBy(*dims).agg(F.min(minute_number(F.col("minute"))).alias("_since"))
     groups = groups.withColumn("_since", minute_text(F.col("_since")))
-    rises = arrays.select(*mark_dims, F.explode(F.slice("triggers", 2, F.size("triggers"))).alias("_rise"))
+    # all triggers but the first
+    after = F.when(F.col("run") == 0, F.slice("triggers", 2, RUN)).otherwise(F.col("triggers"))
+    rises = runs.select(*mark_dims, F.explode(after).alias("_rise"))
     rises = rises.select(*mark_dims, F.col("_rise.minute").alias("minute"))
     cells = groups.join(rises, list(mark_dims)).filter(F.col("minute") >= F.col("_since")).drop("_since")
     # the first trigger is no snapshot, but its counts go on into the next ones

@@ -25,7 +25,7 @@ from footfall.operators import topn as T
 from footfall.operators import visitors
 from footfall.session import shared_folder
 from footfall.sources import landing
-from footfall.streaming.staging import files_per_batch, stage_in_order
+from footfall.streaming.staging import stage_in_order
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,24 +89,22 @@ def _click_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.click_counts(T.click_keys(fixtures.clicks(spark, sf_dir)))
 
 
-#: Folders of staged lines, by application and input.
-_STAGED: dict[tuple[str, str], str] = {}
+#: Folders of staged lines and the files of a micro-batch, by application and input.
+_STAGED: dict[tuple[str, str], tuple[str, int]] = {}
 
 
-def stage_lines(spark: SparkSession, sf_dir: str) -> str:
+def stage_lines(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
     """The hits as files in order of arrival, written once for all streams of an application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STAGED:
         folder = f"{shared_folder(spark, 'stream')}/lines"
-        stage_in_order(fixtures.hits(spark, sf_dir), folder, "arrival")
-        _STAGED[key] = folder
+        _STAGED[key] = folder, stage_in_order(fixtures.hits(spark, sf_dir), folder, "arrival")
     return _STAGED[key]
 
 
 def _staged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hits as a stream of several micro-batches."""
-    folder = stage_lines(spark, sf_dir)
-    files = files_per_batch(spark, folder)
+    folder, files = stage_lines(spark, sf_dir)
     return sources.stream_files(spark, folder, "event_id bigint, arrival bigint, line string", files)
 
 
@@ -148,8 +146,7 @@ def stream_hits(spark, sf_dir):
 @query
 def stream_clicks(spark, sf_dir):
     folder = f"{shared_folder(spark, 'stream')}/clicks"
-    stage_in_order(fixtures.clicks(spark, sf_dir), folder, "ts")
-    files = files_per_batch(spark, folder)
+    files = stage_in_order(fixtures.clicks(spark, sf_dir), folder, "ts")
     lines = sources.stream_files(spark, folder, sources.CLICK_SCHEMA, files)
 
     def start(path, checkpoint):
@@ -798,8 +795,7 @@ def sliding_click_counts(spark, sf_dir):
 @query
 def stream_topn_sliding(spark, sf_dir):
     folder = f"{shared_folder(spark, 'stream')}/clicks"
-    stage_in_order(fixtures.clicks(spark, sf_dir), folder, "ts")
-    files = files_per_batch(spark, folder)
+    files = stage_in_order(fixtures.clicks(spark, sf_dir), folder, "ts")
     lines = sources.stream_files(spark, folder, sources.CLICK_SCHEMA, files)
     path = _run(lambda p, c: streaming.stream_topn_sliding(lines, p, c, "1 day", "8 hours"), spark)
     rows = streaming.read_topn_sliding(spark, path, length="1 day", slide="8 hours")

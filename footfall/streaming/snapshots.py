@@ -22,26 +22,36 @@ from pyspark.sql.streaming import StreamingQuery
 from footfall.config import TrafficConfig
 from footfall.functions.parse import minute_number, minute_text
 from footfall.operators.filters import main_site_hits
-from footfall.operators.metrics import METRICS, NAME, VISITOR, contributions, visitor
-from footfall.operators.running import arrival_triggers, at_next_trigger
+from footfall.operators.metrics import METRICS, NAME, VISITOR, contributions
+from footfall.operators.running import arrival_order, arrival_triggers, at_next_trigger
 from footfall.sinks import read_batches, write_batch
 from footfall.streaming.jobs import start
 
 FIRST, HIT = "first", "hit"
 
 
-def _events(hits: DataFrame, dims: Sequence[str], order: Sequence[str], un_policy: str) -> DataFrame:
-    """A row for each hit and each member it stands for; ``new`` rows name the members not seen before."""
-    kept = [*dims, *order]
-    members = contributions(hits.select("*", F.struct(*order).alias("_at")), [*dims, "_at"], un_policy)
-    visits = members.where(F.col("is_rc") & (F.col("kind") == VISITOR)).withColumn("kind", F.lit(FIRST))
-    members = members.unionByName(visits).select(*dims, "minute", "_at.*", "kind", "member")
-    views = hits.select(*kept, "minute", F.lit(HIT).alias("kind"), visitor().alias("member"))
-    rows = members.unionByName(views).withColumn("new", F.lit(False))
-    keys = [*dims, "kind", "member"]
-    new = members.select(*keys).dropDuplicates(keys)
-    nothing = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in ("minute", *order)]
-    return rows.unionByName(new.select("*", *nothing, F.lit(True).alias("new")))
+def _members(hits: DataFrame, kept: Sequence[str], un_policy: str) -> DataFrame:
+    """``(kept, kind, member)``: a row for each member that a hit stands for, by one pass over the hits."""
+    members = contributions(hits, kept, un_policy)
+    first = F.when(F.col("is_rc") & (F.col("kind") == VISITOR), FIRST)
+    rows = members.select(*kept, F.explode(F.array("kind", first)).alias("kind"), "member")
+    return rows.where(F.col("kind").isNotNull())
+
+
+def _rows(hits: DataFrame, dims: Sequence[str], order: Sequence[str], un_policy: str) -> DataFrame:
+    """A row for each hit, and a ``new`` row for each member not seen before.
+
+    Both come from the same shuffle of the few columns that count, with all of them, so that Spark reads and parses
+    the lines once and uses that shuffle twice.
+    """
+    kept = [*dims, "minute", *order]
+    views = hits.select(*kept, "cuc", "rc", "un").repartition(*order)
+    new = _members(views, kept, un_policy).dropDuplicates([*dims, "kind", "member"])
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("kind", "member")]
+    # columns of their own, else the union keeps an alias below the shuffle of one side, and Spark takes them for two
+    named = [F.col(c).alias(c) for c in views.columns]
+    views = views.select(*named, *nothing, F.lit(False).alias("new"))
+    return views.unionByName(new.withColumn("new", F.lit(True)), allowMissingColumns=True)
 
 
 def _state_schema(dims: Sequence[str]) -> str:
@@ -70,18 +80,16 @@ def stream_hwm_snapshots(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
+        kept = [batch]
         try:
             before = _read_state(spark, path, batch_id - 1, schema)
-            views = batch.where(~F.col("new") & (F.col("kind") == HIT))
-            seen = batch.where(~F.col("new") & (F.col("kind") != HIT))
-            new = batch.where("new").select(*keys)
-            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-            named = new.select(*[F.col(k).alias(f"_{k}") for k in keys])
+            views = batch.where(~F.col("new")).withColumn("_at", arrival_order(batch, order))
+            seen = _members(views, [*dims, "_at"], un_policy).withColumn("new", F.lit(False))
+            new = batch.where("new").select(*keys, F.lit(None).cast(views.schema["_at"].dataType).alias("_at"), "new")
             # a new member counts at its first arrival in this batch
-            firsts = seen.join(named, _all(same), "left_semi").withColumn(
-                "_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-            )
-            events = views.unionByName(firsts.where("_rank = 1").drop("_rank")).drop("new")
+            firsts = seen.unionByName(new).groupBy(*keys).agg(F.min("_at").alias("_at"), F.max("new").alias("new"))
+            firsts = firsts.where("new").select(*dims, "kind", "_at")
+            events = views.select(*dims, F.lit(HIT).alias("kind"), "_at").unionByName(firsts)
 
             marks = before.where("mark is not null").select(*site, F.col("date").alias("_date"), F.col("mark").alias("_mark"))
             triggers = arrival_triggers(views, dims, order, across_days=True)
@@ -91,8 +99,11 @@ def stream_hwm_snapshots(
                 | (F.col("date") > F.col("_date"))
                 | ((F.col("date") == F.col("_date")) & (number > F.col("_mark")))
             )
-            later = later.select(*triggers.columns)
-            counted = at_next_trigger(events, later, dims, order, how="left")
+            # a row for each minute at most; its size is known when it is there, so that it can be a broadcast
+            later = later.select(*triggers.columns).persist()
+            kept.append(later)
+            later.count()
+            counted = at_next_trigger(events, later, dims, F.col("_at"), how="left")
             kind = F.col("kind")
             sums = counted.groupBy(*dims, "minute").agg(
                 *[
@@ -108,6 +119,7 @@ def stream_hwm_snapshots(
                 *dims, "minute", *[F.sum(m).over(so_far).alias(m) for m in METRICS]
             )
             running = running.persist()
+            kept.append(running)
             first = later.join(marks.select(*site), site, "left_anti").groupBy(*site)
             first = first.agg(F.min(F.struct("date", "minute")).alias("_first"))
             first = first.select(*site, "_first.*")
@@ -125,23 +137,17 @@ def stream_hwm_snapshots(
             state = totals.join(now, site).where("date >= _date")
             state = state.select(*dims, F.when(F.col("date") == F.col("_date"), F.col("_mark")).alias("mark"), *METRICS)
             write_batch(state.coalesce(1), f"{path}/state", batch_id)
-            running.unpersist()
         finally:
-            batch.unpersist()
-
-    return start(_events(hits, dims, order, un_policy), write, checkpoint, every=every)
-
+            for rows in reversed(kept):
+                rows.unpersist()
 
-def _all(tests):
-    result = tests[0]
-    for test in tests[1:]:
-        result = result & test
-    return result
+    return start(_rows(hits, dims, order, un_policy), write, checkpoint, every=every)
 
 
 def _read_state(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
     if batch_id < 0:
-        return spark.createDataFrame([], schema)
+        nothing = spark.range(0)
+        return nothing.select(F.from_json(F.lit("{}"), schema).alias("s")).select("s.*")
     return spark.read.schema(schema).parquet(f"{path}/state/batch_id={batch_id}")
 
 

@@ -136,6 +136,19 @@ def test_hwm_snapshot_of_3000_minutes(spark):
     assert tuples(got, "minute", "pv") == [(r[3], r[0] + 1) for r in rows[1:]]
 
 
+def test_a_hit_is_joined_with_a_few_triggers_at_a_time(spark):
+    """Of 1,200 triggers, a row holds the ends of the runs and one run, and finds the same trigger."""
+    triggers = spark.range(1200).select(
+        F.lit("d").alias("date"), F.format_string("%04d", "id").alias("minute"), (F.col("id") * 10).alias("first")
+    )
+    runs = W._trigger_runs(triggers, ["date"])
+    assert runs.agg(F.max(F.size("triggers")), F.count("*")).first() == (W.RUN, -(-1200 // W.RUN))
+    hits = spark.range(12000).select(F.lit("d").alias("date"), "id")
+    found = W.at_next_trigger(hits, triggers, ["date"], F.col("id"), how="left")
+    wrong = found.where(~F.col("minute").eqNullSafe(F.when(F.col("id") <= 11990, F.format_string("%04d", F.ceil(F.col("id") / 10)))))
+    assert found.count() == 12000 and wrong.count() == 0
+
+
 def test_hwm_snapshot_when_no_lookup_is_broadcast(spark):
     rows = random_rows(9, n=200)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -312,6 +312,38 @@ def test_what_a_snapshot_batch_reads_does_not_grow(spark, tmp_path):
         assert spark.read.parquet(f"{out}/snapshots/batch_id={i}").count() == (4 if i == 0 else 5)
 
 
+def test_a_snapshot_batch_reads_its_lines_once(spark, tmp_path):
+    feed, out = Feed(spark, tmp_path), f"{tmp_path}/out"
+    for texts in BATCHES:
+        feed.add(*texts)
+    stream = feed.stream().withColumn("arrival", F.col("event_id"))
+    query = streaming.stream_site_snapshots(stream, CONFIG, out, f"{tmp_path}/cp")
+    query.awaitTermination()
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [3, 3, 3]
+
+
+@pytest.mark.parametrize("tied", [False, True])
+def test_staged_blocks_are_batches_of_as_many_files_in_order(spark, tmp_path, monkeypatch, tied):
+    import os
+
+    from footfall.streaming import staging
+
+    monkeypatch.setattr(staging, "FILE_ROWS", 50)
+    place = F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")) if tied else F.col("id")
+    rows = spark.range(2000, numPartitions=3).select((2000 - place).alias("n"), F.col("id").cast("string").alias("text"))
+    folder = f"{tmp_path}/lines"
+    files = staging.stage_in_order(rows, folder, "n")
+    found = sorted((f for f in os.listdir(folder) if f.startswith("part-")), key=lambda f: os.stat(f"{folder}/{f}").st_mtime_ns)
+    assert len(found) % files == 0 and (tied or (files > 4 and len(found) == 4 * files))
+    last = -1
+    for start in range(0, len(found), files):
+        paths = [f"{folder}/{f}" for f in found[start : start + files]]
+        low, high, many = spark.read.parquet(*paths).agg(F.min("n"), F.max("n"), F.count("*")).first()
+        assert last < low and many >= files
+        last = high
+    assert tuples(spark.read.parquet(folder), "n", "text") == tuples(rows, "n", "text")
+
+
 def test_replay_of_a_snapshot_batch_changes_nothing(spark, tmp_path):
     import os
 
